@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.session import cut
+
 WINDOW = 20
 BLOCK = 8
 TABLE_BITS = 21
@@ -245,7 +247,8 @@ def leaked_items(docs: DataFrame, key: str, text: str, items: DataFrame, item: s
     Null texts and items hold nothing; an item shorter than ``min_words`` cannot be found; copies of a document are
     each reported but count once towards a stock sentence; an item listed twice is reported under both ids.
     """
-    hits = leaked_words(docs, key, text, items, item, item_text)
+    # read twice below; a few rows beside the corpus, kept where all executors can read them
+    hits = cut(leaked_words(docs, key, text, items, item, item_text))
     # how many distinct documents there may be: all rows, from the files' footers
     limit = max(COMMON_LEAST, int(COMMON_SHARE * docs.count()))
     spread = hits.select("print", "item", F.explode("at").alias("p")).distinct().groupBy("item", "p").count().where(F.col("count") > limit)
