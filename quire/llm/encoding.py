@@ -161,6 +161,8 @@ def garbled_table(words: DataFrame) -> DataFrame:
     """(kind, token, original, weight): the garbled forms of all words, without those that are clean words."""
     # runs are for signs and single accented letters; longer ones of letters are words
     src = words.where("kind = 'w' or length(word) <= 3")
+    # a few words make many forms: keep the tasks that the planner would put together for their small input
+    src = src.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
     return src.mapInArrow(_table, "kind string, token string, original string, weight bigint")
 
 
