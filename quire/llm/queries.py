@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, encoding, leakage, quality, scripts, survivors
+from quire.llm import bpe, encoding, leakage, markup, quality, scripts, survivors
 from quire.session import table
 
 
@@ -58,6 +58,19 @@ def p4_restored(spark: SparkSession, d: str) -> DataFrame:
     return encoding.restore(_encoded_fields(spark, d), _words(spark, d)).select("field", "record_id", "restored", "complete")
 
 
+def _marked_fields(spark: SparkSession, d: str) -> DataFrame:
+    g, t = table(spark, d, "glossary"), table(spark, d, "pipe_tables")
+    return _field(g, "definition", "glossary_id", "definition").withColumn("is_table", F.lit(False)).unionByName(_field(t, "raw_text", "table_id", "raw_text").withColumn("is_table", F.lit(True)))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return markup.clean_texts(_marked_fields(spark, d)).where("marked").select("field", "record_id").distinct()
+
+
+def p5_clean(spark: SparkSession, d: str) -> DataFrame:
+    return markup.clean_texts(_marked_fields(spark, d)).where("marked").select("field", "record_id", "clean", F.array_join("kinds", ",").alias("kinds"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     out = survivors.glossary_survivors(table(spark, d, "glossary"), _words(spark, d))
     return out.select("group_id", "definition_from", "section_from")
@@ -102,7 +115,7 @@ FROM n, c
 """
 
 QUERIES = {
-    "p1_found": p1_found, "p1_forms": p1_forms, "p4_found": p4_found, "p4_restored": p4_restored, "p6_found": p6_found, "p6_survivors": p6_survivors, "p7_ids": p7_ids,
+    "p1_found": p1_found, "p1_forms": p1_forms, "p4_found": p4_found, "p4_restored": p4_restored, "p5_found": p5_found, "p5_clean": p5_clean, "p6_found": p6_found, "p6_survivors": p6_survivors, "p7_ids": p7_ids,
     "p8_found": p8_found, "p9_found": p9_found, "p9_statistics": p9_statistics,
 }
 SQL = {"p9_statistics": P9_STATISTICS}
