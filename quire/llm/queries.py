@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import bpe, encoding, leakage, markup, quality, scripts, survivors
-from quire.session import table
+from quire.session import cut, table
 
 
 def _words(spark: SparkSession, d: str) -> DataFrame:
     """The clean words of the corpus: section texts and section titles."""
-    return encoding.corpus_words([table(spark, d, "documents").select("text"), table(spark, d, "sections").select("title")])
+    return cut(encoding.corpus_words([table(spark, d, "documents").select("text"), table(spark, d, "sections").select("title")]))
 
 
 def _field(df: DataFrame, field: str, key: str, text: str) -> DataFrame:
@@ -27,7 +27,7 @@ def _titles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    differs = scripts.consistent_forms(_titles(spark, d)).where("differs").select(F.col("field").alias("kind"), "record_id", "text")
+    differs = scripts.differing(_titles(spark, d)).select(F.col("field").alias("kind"), "record_id", "text")
     # a field whose encoding is damaged is no case here; section titles are no field of that kind
     garbled = encoding.garbled_fields(differs.where("kind != 'section'").select(F.col("kind").alias("field"), "record_id", "text"), _words(spark, d))
     out = differs.join(garbled.withColumnRenamed("field", "kind"), ["kind", "record_id"], "left_anti")

@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.session import cut
+
 # Letters of other scripts that look like these Latin ones.
 _CYRILLIC = dict(zip("авеёѕіїјкмнорстухһԁԛԝѵАВЕЁЅІЇЈКМНОРСТУХҺԀԚԜѴьӏгпэ", "aBeësiïjKMHopcTyxhdqwvABEËSIÏJKMHOPCTYXhdQWVbIrne", strict=True))
 _CYRILLIC |= {"в": "B", "к": "K", "м": "M", "н": "H", "т": "T"}
@@ -188,3 +190,11 @@ def consistent_forms(fields: DataFrame) -> DataFrame:
     open_ = first.where("unsure").select("field", "record_id", "source", "text").join(host_scripts(src), "source", "left")
     second = open_.mapInArrow(_normalise, _SCHEMA)
     return known.unionByName(second).drop("unsure")
+
+
+def differing(fields: DataFrame) -> DataFrame:
+    """The rows of ``consistent_forms`` whose form differs from their text; the texts are read once."""
+    src = fields.select("field", F.col("record_id").cast("bigint").alias("record_id"), "source", "text")
+    first = cut(src.where(F.col("text").rlike(NOT_PLAIN)).mapInArrow(_normalise, _SCHEMA).where("differs or unsure"))
+    open_ = first.where("unsure").select("field", "record_id", "source", "text").join(host_scripts(src), "source", "left")
+    return first.where("differs").unionByName(open_.mapInArrow(_normalise, _SCHEMA).where("differs")).drop("unsure", "differs")
