@@ -10,6 +10,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Unicode white space, spelled out so that every regex dialect agrees on it.
 BLANKS = r"[ \t\n\r\f\x0b\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -31,7 +32,7 @@ def slug_ascii(title: Column) -> Column:
     return F.when(s == "", F.lit("untitled")).otherwise(s)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _decomposed(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x).encode("ascii", "replace").decode("ascii"))
 

@@ -50,7 +50,7 @@ def page_ranges(toc: DataFrame, max_level: int = MAX_LEVEL) -> DataFrame:
     nxt = F.lit(None).cast("int")
     for k in range(1, max_level + 1):
         nxt = F.when(F.col("level") == k, F.last(F.when(F.col("level") <= k, F.col("pdf_page")), ignorenulls=True).over(back)).otherwise(nxt)
-    return toc.withColumn("page_end", F.coalesce(F.greatest(F.col("pdf_page"), nxt - 1), F.col("page_count") - 1))
+    return toc.withColumn("page_end", F.when(nxt.isNull(), F.col("page_count") - 1).otherwise(F.greatest(F.col("pdf_page"), nxt - 1)))
 
 
 def clip_to_children(sections: DataFrame) -> DataFrame:

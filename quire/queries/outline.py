@@ -122,7 +122,8 @@ SQL = {
     "section_tree": _TREE + "SELECT * FROM o",
     "note_paths": _TREE + ", d AS (SELECT DISTINCT source_id, section_id FROM o) SELECT source_id, section_id, 'books/' || section_id || CASE WHEN section_id IN (SELECT parent_id FROM o WHERE parent_id IS NOT NULL) THEN '/index.md' ELSE '.md' END AS path FROM d",
     "section_page_ranges": f"""WITH {_DEDUP}, p AS (SELECT t.*, page_count FROM t JOIN pdf_sources USING (source_id) WHERE pdf_page IS NOT NULL)
-        SELECT source_id, ord, pdf_page AS page_from, coalesce(greatest(pdf_page, (SELECT min_by(q.pdf_page, q.ord) FROM p q WHERE q.source_id = p.source_id AND q.ord > p.ord AND q.level <= p.level) - 1), page_count - 1) AS page_to FROM p""",
+        , q AS (SELECT source_id, ord, pdf_page, page_count, (SELECT min_by(q.pdf_page, q.ord) FROM p q WHERE q.source_id = p.source_id AND q.ord > p.ord AND q.level <= p.level) AS nxt FROM p)
+        SELECT source_id, ord, pdf_page AS page_from, CASE WHEN nxt IS NULL THEN page_count - 1 ELSE greatest(pdf_page, nxt - 1) END AS page_to FROM q""",
     "parent_clipping": """WITH f AS (SELECT source_id, parent_id, min(pdf_page_start) m FROM sections WHERE parent_id IS NOT NULL GROUP BY ALL)
         SELECT section_row, CASE WHEN m IS NULL THEN pdf_page_end ELSE least(pdf_page_end, greatest(m - 1, pdf_page_start)) END AS text_page_end
         FROM sections s LEFT JOIN f ON f.source_id = s.source_id AND f.parent_id = s.section_id""",
