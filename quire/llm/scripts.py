@@ -95,15 +95,23 @@ def _certain(token: str, own: list[str]) -> str | None:
     return None
 
 
+_STAND_INS = {c: chr(0xFDD0 + i) for i, c in enumerate("\u200d\u200c\ufe0e\ufe0f")}
+_BACK = {ord(v): k for k, v in _STAND_INS.items()}
+
+
+def _stand_in(m: regex.Match) -> str:
+    return "".join(_STAND_INS.get(c, c) for c in m.group())
+
+
 def consistent(text: str, host: str | None = None) -> tuple[str, bool, bool]:
     """(text in one form, whether a character differed from its plain spelling, whether only the host can tell).
 
     ``host`` is the script in which the source is mainly written; it decides where the text itself does not.
     """
-    plain = _EMOJI_JOIN.sub("", text)
-    plain = _JOINERS.sub("", plain)
+    # joiners and selectors that emoji and some scripts need are kept, under stand-ins that are no characters
+    plain = _JOINERS.sub(_stand_in, _EMOJI_JOIN.sub(_stand_in, text))
     case = bool(_INVISIBLE.search(plain) or _BLANK.search(plain) or _HYPHEN.search(plain))
-    t = _INVISIBLE.sub("", text if not case else plain)
+    t = _INVISIBLE.sub("", plain)
     t = _BLANK.sub(" ", t)
     t = _HYPHEN.sub("-", t)
     c = _COMPAT.sub(lambda m: unicodedata.normalize("NFKC", m.group()), t)
@@ -150,7 +158,7 @@ def consistent(text: str, host: str | None = None) -> tuple[str, bool, bool]:
             out.append(t[at:start] + x)
             at = start + len(w)
             case = True
-    return "".join(out) + t[at:], case, unsure and not case
+    return ("".join(out) + t[at:]).translate(_BACK), case, unsure and not case
 
 
 def _normalise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
