@@ -97,3 +97,36 @@ def title_overlap(left: DataFrame, right: DataFrame) -> DataFrame:
     words = lambda c: F.array_distinct(F.split(strip_affixes(title_key(F.col(c))), " "))
     j = left.join(right, ["source_id", "page"])
     return j.withColumn("score", F.size(F.array_intersect(words("a"), words("b"))) / F.size(F.array_union(words("a"), words("b"))))
+
+
+def match_headings(heads: DataFrame, sections: DataFrame) -> DataFrame:
+    """(source_id, section_id, doc_id, line): the first heading of the book whose normalised title is the section's.
+
+    ``heads``: source_id, doc_id, line, title. Several sections may claim one heading; a section without a match is
+    left out, and so is one whose title has no letters.
+    """
+    h = heads.withColumn("key", title_key(F.col("title"))).where("key != ''")
+    h = h.groupBy("source_id", "key").agg(F.min(F.struct("doc_id", "line")).alias("h"))  # the first, before the join
+    s = sections.select("source_id", "section_id", title_key(F.col("title")).alias("key")).distinct()
+    return s.join(h, ["source_id", "key"]).groupBy("source_id", "section_id").agg(F.min("h").alias("h")).select("source_id", "section_id", F.col("h.doc_id").alias("doc_id"), F.col("h.line").alias("line"))
+
+
+def drop_title_heading(text: Column, title: Column) -> Column:
+    """A first heading that repeats the section's title is dropped with the empty lines behind it.
+
+    It repeats it if, normalised, one of the two begins with the other. A text of nothing else stays as it is.
+    """
+    head = title_key(F.regexp_extract(text, r"^\s*#{1,6}[ \t]+([^\n]*)", 1))
+    key = title_key(title)
+    again = (head != "") & (key != "") & (F.startswith(head, key) | F.startswith(key, head))
+    rest = rsub(text, r"^\s*#{1,6}[ \t]+[^\n]*\n*", "")
+    return F.when(again & (F.trim(rest) != ""), rest).otherwise(text)
+
+
+def clean_page_text(text: Column) -> Column:
+    """Text of a page as paragraphs: soft hyphens out, words split at line ends joined, page numbers out, lines joined."""
+    s = rsub(text, r"\x{ad}\n?", "")
+    s = rsub(s, r"(\p{L})-\n(\p{Ll})", "$1$2")
+    s = rsub(s, r"(?m)^[ \t]*[0-9]{1,4}[ \t]*$\n?", "")
+    s = rsub(s, r"(?<=[^\n.!?:;|>#*-])\n(?=\p{Ll})", " ")
+    return rsub(rsub(s, r"\n{3,}", "\n\n"), r"^\s+|\s+\z", "")

@@ -97,3 +97,24 @@ def resolve_pages(refs: DataFrame, sections: DataFrame) -> DataFrame:
     pages = s.select("source_id", F.explode(F.sequence("pdf_page_start", "pdf_page_end")).alias("page"), F.struct(F.coalesce("inner", F.lit(0)).alias("inner"), "ord", "section_row", "section_id").alias("s"))
     best = pages.groupBy("source_id", "page").agg(F.min("s").alias("s"))  # combines before the shuffle
     return refs.join(best, ["source_id", "page"], "left").select("source_id", "page", F.col("s.section_id").alias("section_id"))
+
+
+def unwrap_single_root(tree: DataFrame) -> DataFrame:
+    """A book whose only root is the book itself loses that root: its children become roots, ids and levels follow.
+
+    The root is the book if its slug and the source id are the same words. Other books pass unchanged. ``tree`` has
+    source_id, section_id, parent_id, slug, level and is_root.
+    """
+    roots = tree.where("is_root").groupBy("source_id").agg(F.count(F.lit(1)).alias("n_roots"), F.min(F.struct("section_id", "slug")).alias("root"))
+    same = F.replace("root.slug", F.lit("-"), F.lit(" ")) == F.replace(F.lower("source_id"), F.lit("-"), F.lit(" "))
+    wraps = roots.where((F.col("n_roots") == 1) & same).select("source_id", F.col("root.section_id").alias("root_id"))
+    t = tree.join(wraps, "source_id", "left").where(F.col("root_id").isNull() | (F.col("section_id") != F.col("root_id")))
+    inside = F.col("root_id").isNotNull() & F.startswith(F.col("section_id"), F.concat("root_id", F.lit("/")))
+    moved = lambda c: F.concat(F.col("source_id"), F.expr(f"substring({c}, length(root_id) + 1)"))
+    top = inside & (F.col("parent_id") == F.col("root_id"))
+    return t.withColumns({
+        "section_id": F.when(inside, moved("section_id")).otherwise(F.col("section_id")),
+        "parent_id": F.when(top, F.lit(None).cast("string")).when(inside & F.col("parent_id").isNotNull(), moved("parent_id")).otherwise(F.col("parent_id")),
+        "level": F.when(inside, F.col("level") - 1).otherwise(F.col("level")),
+        "is_root": F.coalesce(top, F.lit(False)) | F.col("is_root"),
+    }).drop("root_id")

@@ -59,6 +59,20 @@ def heading_ranges(spark, d):
     return markdown.heading_ranges(markdown.headings(_docs(spark, d), "doc_id", "text"), "doc_id").select("doc_id", "line", "line_end")
 
 
+def heading_match_exact(spark, d):
+    heads = markdown.headings(_docs(spark, d), "doc_id", "text").join(_docs(spark, d).select("doc_id", F.col("source").alias("source_id")), "doc_id")
+    return markdown.match_headings(heads, table(spark, d, "sections")).select("source_id", "section_id", "doc_id", "line")
+
+
+def heading_dedupe(spark, d):
+    s = table(spark, d, "sections").groupBy("section_id").agg(F.min_by("title", "section_row").alias("title"))
+    return _docs(spark, d).where("text is not null").join(s, "section_id").select("doc_id", markdown.drop_title_heading(F.col("text"), F.col("title")).alias("text"))
+
+
+def page_text_clean(spark, d):
+    return _docs(spark, d).select("doc_id", markdown.clean_page_text(F.col("text")).alias("text"))
+
+
 def broken_doc_links(spark, d):
     """Links in section texts whose note is not there; the note of a section lies where its id says."""
     docs = _docs(spark, d).where("section_id is not null").select("doc_id", "text", F.concat(F.lit("books/"), "section_id", F.lit(".md")).alias("file"))
@@ -266,8 +280,14 @@ SQL = {
     "global_index": "WITH r AS (SELECT source_id, count(DISTINCT section_id) AS n FROM sections WHERE level = 1 GROUP BY ALL) SELECT source_id, source_id || ': ' || page_count || ' pages, ' || coalesce(n, 0) || CASE WHEN coalesce(n, 0) = 1 THEN ' chapter' ELSE ' chapters' END AS line FROM pdf_sources LEFT JOIN r USING (source_id)",
 }
 SQL["heading_ranges"] = "WITH x AS (" + SQL["heading_scan"] + ") SELECT doc_id, line, CAST(lead(line) OVER (PARTITION BY doc_id ORDER BY line) - 1 AS INTEGER) AS line_end FROM x"
+SQL["heading_match_exact"] = (
+    "WITH x AS (" + SQL["heading_scan"] + f"), h AS (SELECT source AS source_id, x.doc_id, line, {_KEY} AS key FROM x JOIN documents d ON d.doc_id = x.doc_id), "
+    f"s AS (SELECT DISTINCT source_id, section_id, {_KEY} AS key FROM sections), "
+    "j AS (SELECT s.source_id, section_id, doc_id, line, row_number() OVER (PARTITION BY s.source_id, section_id ORDER BY doc_id, line) AS k FROM s JOIN h ON h.source_id = s.source_id AND h.key = s.key AND s.key <> '') "
+    "SELECT source_id, section_id, doc_id, line FROM j WHERE k = 1"
+)
 _NAMES = (
-    title_normalize, affix_strip, entity_slug, source_id_slug, bullet_normalize, whitespace_normalize, running_header_strip, br_in_tables, page_ref_annotate, heading_scan, heading_ranges, broken_doc_links,
+    title_normalize, affix_strip, entity_slug, source_id_slug, bullet_normalize, whitespace_normalize, running_header_strip, br_in_tables, page_ref_annotate, heading_scan, heading_ranges, heading_match_exact, heading_dedupe, page_text_clean, broken_doc_links,
     pipe_table_parse, pipe_table_filter, table_summary, table_markdown, table_csv, glossary_scan, glossary_dedupe, glossary_letters, glossary_sections, see_also_terms, heading_jaccard, font_stats,
     font_sizes_topk, body_font_mode, header_footer_lines, suspicious_chars, char_freq_topk, step_latest_status, pending_steps, source_upsert, content_key, orphan_files, stale_files, image_ref_resolve,
     validation_summary, extraction_summary, book_index, global_index,

@@ -49,6 +49,14 @@ def section_pattern_filter(spark: SparkSession, d: str) -> DataFrame:
     return outline.pattern_filter(table(spark, d, "sections"), ["lantern", "iron-gate", "tower"]).select("section_row", "section_id")
 
 
+def single_root_unwrap(spark: SparkSession, d: str) -> DataFrame:
+    """Every outline put below a root named like its book, and unwrapped again."""
+    t = _toc(spark, d).select("source_id", (F.col("ord") + 1).alias("ord"), (F.col("level") + 1).alias("level"), "slug")
+    roots = t.select("source_id").distinct().select("source_id", F.lit(0).alias("ord"), F.lit(1).alias("level"), F.col("source_id").alias("slug"))
+    tree = outline.section_tree(t.unionByName(roots))
+    return outline.unwrap_single_root(tree).select("source_id", "ord", "level", "parent_id", "section_id", "is_root")
+
+
 def page_ref_resolve(spark: SparkSession, d: str) -> DataFrame:
     refs = table(spark, d, "toc_entries").where("pdf_page is not null").select("source_id", F.col("pdf_page").alias("page")).distinct()
     return outline.resolve_pages(refs, table(spark, d, "sections")).where("section_id is not null")
@@ -139,4 +147,4 @@ SQL = {
         SELECT source_id, CAST(n AS INTEGER) AS n, 'App-' || CASE WHEN n > 702 THEN chr(CAST(97 + ((n - 1) // 26 - 1) // 26 - 1 AS INTEGER)) ELSE '' END || CASE WHEN n > 26 THEN chr(CAST(97 + ((n - 1) // 26 - 1) % 26 AS INTEGER)) ELSE '' END || chr(CAST(97 + (n - 1) % 26 AS INTEGER)) AS label FROM p""",
     "printed_pages": "SELECT section_row, TRY_CAST(CASE WHEN regexp_matches(trim(string_split(printed_page_start, '-')[1]), '^[0-9]{1,9}$') THEN trim(string_split(printed_page_start, '-')[1]) END AS INTEGER) AS page FROM sections",
 }
-QUERIES = {f.__name__: f for f in (toc_clean, section_tree, section_page_ranges, note_paths, parent_clipping, overlapping_siblings, section_page_filter, section_pattern_filter, page_ref_resolve, unresolved_refs, page_fill_asof, slug_unicode, relative_links, roman_labels, alpha_labels, printed_pages)}
+QUERIES = {f.__name__: f for f in (toc_clean, section_tree, section_page_ranges, note_paths, parent_clipping, overlapping_siblings, section_page_filter, section_pattern_filter, single_root_unwrap, page_ref_resolve, unresolved_refs, page_fill_asof, slug_unicode, relative_links, roman_labels, alpha_labels, printed_pages)}

@@ -28,7 +28,8 @@ def register(found: DataFrame, known: DataFrame) -> DataFrame:
 
 def markdown_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, text) of the Markdown files below a path, one row a file."""
-    return spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.md").text(path).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    b = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.md").load(path)
+    return b.select("path", F.expr("make_valid_utf8(cast(content as string))").alias("text"))
 
 
 def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

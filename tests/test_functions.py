@@ -83,3 +83,22 @@ def test_definitions(spark):
     d = markdown.definitions(spark.createDataFrame([(1, s)], "k int, t string"), "k", "t")
     got = {(r.pattern, r.term) for r in d.where(markdown.is_term(F.col("term"), F.col("definition"))).collect()}
     assert got == {("a", "Action"), ("a", "Inner")} | ({("c", "Beat")} if "Beat" not in markdown.FIELD_LABELS else set())
+
+
+def test_unwrap(spark):
+    rows = [("my-book", 0, 1, "my-book"), ("my-book", 1, 2, "a"), ("my-book", 2, 3, "b"), ("two", 0, 1, "two"), ("two", 1, 1, "x"), ("two", 2, 2, "y")]
+    tree = outline.section_tree(spark.createDataFrame(rows, "source_id string, ord int, level int, slug string"))
+    got = {tuple(r) for r in outline.unwrap_single_root(tree).select("section_id", "parent_id", "level", "is_root").collect()}
+    assert got == {("my-book/a", None, 1, True), ("my-book/a/b", "my-book/a", 2, False), ("two/two", None, 1, True), ("two/x", None, 1, True), ("two/x/y", "two/x", 2, False)}
+
+
+@pytest.mark.parametrize("body, title, want", [
+    ("# Damage\n\ntext", "Damage", "text"), ("## **Damage Types**\ntext", "Damage", "text"), ("# Other\ntext", "Damage", "# Other\ntext"), ("# Damage\n", "Damage", "# Damage\n"), ("text", "Damage", "text"),
+])
+def test_title_heading(spark, body, title, want):
+    assert one(spark, markdown.drop_title_heading, body, title) == want
+
+
+@pytest.mark.parametrize("given, want", [("conse-\nquence", "consequence"), ("a\u00adb", "ab"), ("x\n42\ny", "x y"), ("line\nof a", "line of a"), ("End.\nnext", "End.\nnext"), (None, None)])
+def test_page_text(spark, given, want):
+    assert one(spark, markdown.clean_page_text, given) == want
