@@ -28,16 +28,17 @@ def section_tree(toc: DataFrame, slug: str = "slug", max_level: int = MAX_LEVEL)
         t = t.withColumn(f"s{k}", F.last(F.when(F.col("depth") == k, F.col(slug)), ignorenulls=True).over(before))
         # whether the open section at depth k was itself properly nested; a jumped one starts a path of its own
         t = t.withColumn(f"j{k}", F.last(F.when(F.col("depth") == k, F.col("level") != F.col("depth")), ignorenulls=True).over(before))
+    # the path of the open section at each depth; one column a depth, since each is read twice by the next
+    t = t.withColumn("p1", F.col("s1"))
+    for k in range(2, max_level):
+        alone = F.coalesce(F.col(f"j{k}"), F.lit(False)) | F.col(f"p{k - 1}").isNull()
+        t = t.withColumn(f"p{k}", F.when(alone, F.col(f"s{k}")).otherwise(F.concat_ws("/", f"p{k - 1}", f"s{k}")))
     nested = (F.col("level") >= 2) & (F.col("depth") == F.col("level"))
-    path = F.lit(None).cast("string")
-    parents = F.lit(None).cast("string")
-    for k in range(1, max_level):
-        path = F.when(F.coalesce(F.col(f"j{k}"), F.lit(False)) | path.isNull(), F.col(f"s{k}")).otherwise(F.concat_ws("/", path, F.col(f"s{k}")))
-        parents = F.when(F.col("level") == k + 1, path).otherwise(parents)
-    t = t.withColumn("up", F.when(nested, parents))
+    paths = F.array(*[F.col(f"p{k}") for k in range(1, max_level)])
+    t = t.withColumn("up", F.when(nested, F.get(paths, F.col("level") - 2)))
     out = t.withColumn("parent_id", F.when(F.col("up").isNotNull(), F.concat_ws("/", "source_id", "up")))
     out = out.withColumn("section_id", F.concat_ws("/", "source_id", "up", slug)).withColumn("is_root", F.col("level") == 1)
-    return out.drop("n", "up", *[f"{x}{k}" for x in "sj" for k in range(1, max_level)])
+    return out.drop("n", "up", *[f"{x}{k}" for x in "sjp" for k in range(1, max_level)])
 
 
 def page_ranges(toc: DataFrame, max_level: int = MAX_LEVEL) -> DataFrame:

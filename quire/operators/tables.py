@@ -41,7 +41,9 @@ def parse_tables(df: DataFrame, key: str, text: str) -> DataFrame:
     t = t.withColumn("rest", F.when(stop > 0, F.slice("rest", F.lit(1), stop - 1)).otherwise(F.col("rest")))
     t = t.withColumn("rest", F.filter("rest", lambda x: ~is_separator(x)))
     width = F.size("headers")
-    body = F.transform("rest", lambda x: F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.coalesce(F.get(cells(x), i), F.lit(""))))
+    t = t.withColumn("rows", F.transform("rest", cells))
+    pad = lambda r: F.concat(F.slice(r, F.lit(1), width), F.array_repeat(F.lit(""), F.greatest(width - F.size(r), F.lit(0))))
+    body = F.transform("rows", pad)
     return t.withColumn("body", body).where(F.size("body") > 0).select(key, "headers", "body")
 
 
