@@ -69,7 +69,7 @@ def _chains() -> list[tuple[str, ...]]:
     out += [("utf-8", x, "utf-8", y) for x in _DOUBLED for y in _DOUBLED]
     out += [("utf-8", x) * 3 for x in ("cp1252", "latin-1")]
     for group, others in ((("cp1252", "mac_roman", "cp437", "cp850"), MISREAD), (CYRILLIC, CYRILLIC + WESTERN)):
-        out += [(a, b) for a in group for b in others if a != b and {a, b} != {"cp1252", "latin-1"}]
+        out += [(a, b) for a in group for b in others if a != b]
     # characters lost: bytes that the reader replaces
     out += [("utf-8", "ascii"), ("cp1252", "utf-8"), ("cp1251", "utf-8"), ("koi8-r", "utf-8"), ("cp866", "utf-8"), ("mac_roman", "utf-8"), ("cp437", "utf-8")]
     out += [("utf-8", "ascii", "utf-8", "cp1252"), ("cp1252", "utf-8", "utf-8", "cp1252")]
@@ -105,7 +105,7 @@ def garbled_forms(word: str) -> set[str]:
 
 
 def _visible(form: str) -> bool:
-    return any(unicodedata.category(c) not in ("Cf", "Zs", "Cc") for c in form)
+    return any(unicodedata.category(c) not in ("Cf", "Zs", "Cc") or "\x80" <= c <= "\x9f" for c in form)
 
 
 def _telling(word: str, form: str) -> bool:
@@ -181,7 +181,7 @@ def garbled_tokens(fields: DataFrame, words: DataFrame) -> DataFrame:
     # a form that is itself a clean word of the corpus, in any case, tells nothing
     clean = words.select("kind", F.lower("word").alias("low")).distinct()
     suspects = keys.select("kind", "token").distinct().withColumn("low", F.lower("token")).join(clean, ["kind", "low"], "left_anti").drop("low")
-    best = table.join(suspects, ["kind", "token"], "left_semi").groupBy("kind", "token").agg(F.max_by("original", F.struct("weight", "original")).alias("original"), F.max("weight").alias("weight"))
+    best = table.join(suspects, ["kind", "token"], "left_semi").groupBy("kind", "token").agg(F.max_by("original", F.struct(F.col("original").rlike(r"\p{L}"), "weight", "original")).alias("original"), F.max("weight").alias("weight"))
     lost = keys.where(F.col("token").contains(REPLACEMENT)).where("kind = 'w'").select("field", "record_id", "kind", "token", F.lit(None).cast("string").alias("original"), F.lit(0).cast("bigint").alias("weight"))
     return keys.join(best, ["kind", "token"]).select("field", "record_id", "kind", "token", "original", "weight").unionByName(lost)
 
@@ -190,11 +190,12 @@ def garbled_fields(fields: DataFrame, words: DataFrame) -> DataFrame:
     """(field, record_id) of every field with at least one garbled sequence.
 
     A single letter that some other letter may have become is none by itself, since it may be a word of another
-    language; one of Cyrillic that was another of Cyrillic is, since the few words of one letter there are clean words.
+    language; one of Cyrillic that was another of Cyrillic is, since the few words of one letter there are clean words,
+    unless it looks like a Latin letter.
     """
     hit = garbled_tokens(fields, words)
     letter = (F.length("token") == 1) & F.col("token").rlike(r"^\p{L}$")
-    same = F.col("token").rlike(r"^\p{IsCyrillic}$") & F.coalesce(F.col("original").rlike(r"^\p{IsCyrillic}$"), F.lit(False))
+    same = F.col("token").rlike(r"^[\p{IsCyrillic}&&[^АВЕЗІКМНОРСТУХЅЈасеорухіѕј]]$") & F.coalesce(F.col("original").rlike(r"^\p{IsCyrillic}$"), F.lit(False))
     hit = hit.where(~letter | same)
     return hit.select("field", "record_id").distinct()
 
