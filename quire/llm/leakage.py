@@ -9,9 +9,11 @@ the items are phrases of the genre, not of an item, and open no search.
 
 A hit is then extended word by word in both directions over the item and the document, tolerating changed, added and
 missing words; the words of an item that are covered count, but for phrases of the genre (runs of five words that
-stand in many items). Positions of an item that more than ``common_share`` of all distinct documents hold are stock
-sentences and are taken out too, by counts over the whole corpus. A document is reported with an item if enough of
-the item's words remain, and enough of them are its own (words that few other items use).
+stand in many items). A stock sentence is known by its shape: a short run (less than ``PASSAGE`` words) that more than
+``COMMON_SHARE`` of the distinct documents hold from the same first to the same last word, and of the item nothing
+else. It is taken out by counts over the whole corpus; documents that hold more of the item have no vote, however many
+they are, and a run of ``PASSAGE`` words or more that goes well beyond each stock sentence stays. A document is reported
+with an item if enough of the item's words remain, and enough of them are its own (words that few other items use).
 
 The items are the stated query set: they are read in blocks of at most ``BLOCK_BYTES`` of text, each shipped to the
 workers by itself, against all documents.
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +44,8 @@ PHRASE = 5
 OWN_SHARE = 0.1
 STOCK_SHARE = 0.005
 COMMON_SHARE = 0.005
-COMMON_LEAST = 50
+#: Covered words from which a run is a passage, whatever number of documents holds it.
+PASSAGE = 14
 
 #: What is taken out without a trace, and what is left as one blank.
 _DROP = r"<[^<>]{0,300}>|\]\([^()\s]{0,300}\)|[-‐‑]\s*\n\s*|[­​-‏⁠-⁤﻿*_`\[\]~]"
@@ -165,10 +169,13 @@ def extend(item: list[str], doc: list[str], p: int, j: int) -> set[int]:
 _GAPS = sorted(((x, y) for x in range(4) for y in range(4) if x + y), key=lambda g: (max(g), sum(g)))
 
 
+_AT = pa.list_(pa.int32())
+
+
 def _search(batches: Iterator[pa.RecordBatch], engine: WuManber) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         text = batch.column("text")
-        out_row, out_item, out_at, out_own = [], [], [], []
+        out_row, out_print, out_item, out_at, out_own, out_alone, out_runs = [], [], [], [], [], [], []
         offsets = np.frombuffer(text.buffers()[1], dtype=np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64)
         data = np.frombuffer(text.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]] if len(text) and text.buffers()[2] is not None else np.zeros(0, np.uint8)
         offsets = offsets - offsets[0] if len(offsets) else offsets
@@ -177,30 +184,37 @@ def _search(batches: Iterator[pa.RecordBatch], engine: WuManber) -> Iterator[pa.
         inside = start + WINDOW <= offsets[row + 1] if len(start) else np.zeros(0, bool)
         start, pattern, row = start[inside], pattern[inside], row[inside]
         order = np.lexsort((start, row))
-        last, words, starts = -1, [], []
+        last, words, starts, mark = -1, [], [], 0
         seeds: dict[int, list[tuple[int, int]]] = {}
 
         def close(r: int) -> None:
             for item, places in seeds.items():  # noqa: B023
                 covered: set[int] = set()
+                passages = []
                 for p, j in places:
                     if p not in covered:
                         part = extend(engine.words[item], words, p, j)  # noqa: B023
                         if len(part) >= MIN_RUN:
                             covered |= part
-                covered -= engine.generic[item]
-                if covered:
+                        if len(part) >= PASSAGE:
+                            passages.append(part - engine.generic[item])
+                left = covered - engine.generic[item]
+                if left:
                     out_row.append(r)  # noqa: B023
+                    out_print.append(mark)  # noqa: B023
                     out_item.append(item)  # noqa: B023
-                    out_at.append(sorted(covered))  # noqa: B023
-                    out_own.append(sorted(covered & engine.own[item]))  # noqa: B023
+                    out_at.append(sorted(left))  # noqa: B023
+                    out_own.append(sorted(left & engine.own[item]))  # noqa: B023
+                    out_alone.append([min(covered), max(covered)] if len(covered) < PASSAGE else None)  # noqa: B023
+                    out_runs.append([{"at": sorted(x), "own": sorted(x & engine.own[item])} for x in passages])  # noqa: B023
 
         for o in order.tolist():
             r = int(row[o])
             if r != last:
                 close(last)
                 raw = data[offsets[r] : offsets[r + 1]]
-                words = raw.tobytes().decode("utf-8").split()
+                plain = raw.tobytes()
+                words, mark = plain.decode("utf-8").split(), int.from_bytes(blake2b(plain, digest_size=8).digest(), "little", signed=True)
                 starts = np.flatnonzero(raw == 32)
                 seeds, last = {}, r
             j = int(np.searchsorted(starts, start[o] - offsets[r]))
@@ -209,8 +223,8 @@ def _search(batches: Iterator[pa.RecordBatch], engine: WuManber) -> Iterator[pa.
         close(last)
         take = pa.array(out_row, type=pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("key").take(take), batch.column("print").take(take), pa.array(out_item, type=pa.int64()), pa.array(out_at, type=pa.list_(pa.int32())), pa.array(out_own, type=pa.list_(pa.int32()))],
-            names=["key", "print", "item", "at", "own"],
+            [batch.column("key").take(take), pa.array(out_print, type=pa.int64()), pa.array(out_item, type=pa.int64()), pa.array(out_at, type=_AT), pa.array(out_own, type=_AT), pa.array(out_alone, type=_AT), pa.array(out_runs, type=pa.list_(pa.struct([("at", _AT), ("own", _AT)])))],
+            names=["key", "print", "item", "at", "own", "alone", "runs"],
         )
 
 
@@ -227,12 +241,16 @@ def _blocks(items: DataFrame, item: str, text: str) -> Iterator[list[tuple[int,
 
 
 def leaked_words(docs: DataFrame, key: str, text: str, items: DataFrame, item: str, item_text: str) -> DataFrame:
-    """(key, print, item, at, own): item word positions found in each document, before stock sentences are taken out."""
+    """(key, print, item, at, own, alone, runs): what is found in each document, before stock sentences are taken out.
+
+    ``print`` tells documents of other words apart, ``at`` and ``own`` are item word positions, ``alone`` the first and
+    last of them where they are less than a passage, ``runs`` the positions in each run that is a passage.
+    """
     n_items = items.count()
     stock = max(3, int(STOCK_SHARE * n_items + 0.5))
-    src = docs.select(docs[key].alias("key"), F.xxhash64(docs[text]).alias("print"), plain_form(docs[text]).alias("text")).where("text is not null")
+    src = docs.select(docs[key].alias("key"), plain_form(docs[text]).alias("text")).where("text is not null")
     kind = dict(src.dtypes)["key"]
-    schema = f"key {kind}, print bigint, item bigint, at array<int>, own array<int>"
+    schema = f"key {kind}, print bigint, item bigint, at array<int>, own array<int>, alone array<int>, runs array<struct<at: array<int>, own: array<int>>>"
     out = None
     for block in _blocks(items, item, item_text):
         shipped = docs.sparkSession.sparkContext.broadcast(WuManber(block, stock))
@@ -249,11 +267,17 @@ def leaked_items(docs: DataFrame, key: str, text: str, items: DataFrame, item: s
     """
     # read twice below; a few rows beside the corpus, kept where all executors can read them
     hits = cut(leaked_words(docs, key, text, items, item, item_text))
-    # how many distinct documents there may be: all rows, from the files' footers
-    limit = max(COMMON_LEAST, int(COMMON_SHARE * docs.count()))
-    spread = hits.select("print", "item", F.explode("at").alias("p")).distinct().groupBy("item", "p").count().where(F.col("count") > limit)
-    stock = spread.groupBy("item").agg(F.collect_set("p").alias("stock"))  # at most the words of one item
-    left = hits.join(stock, "item", "left")
-    size = lambda c: F.when(F.col("stock").isNull(), F.size(c)).otherwise(F.size(F.array_except(c, "stock")))
-    found = left.select("key", "item", size("at").alias("n_words"), size("own").alias("n_own")).where((F.col("n_words") >= min_words) & (F.col("n_own") >= min_own))
-    return found.groupBy("key", "item").agg(F.max("n_words").alias("n_words"), F.max("n_own").alias("n_own")).withColumnsRenamed({"key": key, "item": item})
+    # how many distinct documents there may be: all rows, from the files' footers; what one document holds is no stock
+    limit = max(1, int(COMMON_SHARE * docs.count()))
+    spread = hits.where("alone is not null").select("print", "item", "alone").distinct().groupBy("item", "alone").count().where(F.col("count") > limit)
+    stock = spread.groupBy("item").agg(F.collect_list("alone").alias("stock"))  # at most some runs of each first word of one item
+    left = hits.join(stock, "item", "left").withColumn("stock", F.coalesce("stock", F.array().cast("array<array<int>>")))
+    out = lambda p, s: (p < s[0]) | (p > s[1])
+    size = lambda c: F.size(F.filter(c, lambda p: F.forall("stock", lambda s: out(p, s))))
+    # what a passage has beyond that stock sentence of which it holds most
+    beyond = lambda c: F.array_min(F.concat(F.array(F.size(c)), F.transform("stock", lambda s: F.size(F.filter(c, lambda p: out(p, s))))))
+    whole = F.transform("runs", lambda x: F.struct(beyond(x["at"]).alias("n_words"), beyond(x["own"]).alias("n_own")))
+    counts = F.concat(F.array(F.struct(size("at").alias("n_words"), size("own").alias("n_own"))), whole)
+    enough = F.filter(counts, lambda x: (x["n_words"] >= min_words) & (x["n_own"] >= min_own))
+    found = left.select("key", "item", F.explode(enough).alias("x"))
+    return found.groupBy("key", "item").agg(F.max("x.n_words").alias("n_words"), F.max("x.n_own").alias("n_own")).withColumnsRenamed({"key": key, "item": item})

@@ -188,6 +188,22 @@ def test_passages(spark):
     assert leakage.leaked_items(df, "doc_id", "text", i.limit(0), "item_id", "text").count() == 0
 
 
+def test_many_leaks_stay_and_a_stock_sentence_goes(spark):
+    item = "Suppose that Clunzhul and the stubborn journal of Rhukphael each claim the relic before dawn breaks over Iethbrae while seven patient ferrymen count their silver"
+    stock = "Unless stated otherwise bonuses from the same origin never stack together anywhere."
+    rnd = random.Random(3)
+    broken = lambda s, k: " ".join(w + "\n" * (rnd.random() < 0.3) for w in s.split()) + f" Closing line {k} here."
+    whole = [(k, broken(item + ". " + stock, k)) for k in range(120)]
+    passage = [(200 + k, broken(" ".join(item.split()[3:23]), k)) for k in range(120)]
+    only = [(400 + k, f"Opening line {k} here. {stock}") for k in range(12)]
+    other = [(500 + k, f"Entirely other prose number {k} about nothing.") for k in range(300)]
+    i = spark.createDataFrame([(1, item + ". " + stock)], "item_id bigint, text string")
+    found = lambda rows: {r.doc_id for r in leakage.leaked_items(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", "text", i, "item_id", "text").collect()}
+    assert found(whole + passage + only + other) == {k for k, _ in whole + passage}
+    # lines broken otherwise make no other document
+    assert found([(k, broken(stock, "same")) for k in range(60)] + other) == set(range(60))
+
+
 # --- p9: statistics and shape
 def test_chunks_merge_to_the_whole(spark):
     rnd = random.Random(4)
