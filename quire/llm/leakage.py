@@ -13,7 +13,8 @@ stand in many items). A stock sentence is known by its shape: a short run (less
 ``COMMON_SHARE`` of the distinct documents hold from the same first to the same last word, and of the item nothing
 else. It is taken out by counts over the whole corpus; documents that hold more of the item have no vote, however many
 they are, and a run of ``PASSAGE`` words or more that goes well beyond each stock sentence stays. A document is reported
-with an item if enough of the item's words remain, and enough of them are its own (words that few other items use).
+with an item if enough of the item's words remain, and enough of them are its own (words that few other items use). In
+a run that is a passage, phrases of the genre count too, but not sentences that many items share.
 
 The items are the stated query set: they are read in blocks of at most ``BLOCK_BYTES`` of text, each shipped to the
 workers by itself, against all documents.
@@ -43,6 +44,10 @@ MIN_RUN = 5
 PHRASE = 5
 OWN_SHARE = 0.1
 STOCK_SHARE = 0.005
+#: Words in a row that make a sentence, if many items share them; shorter ones are phrases, also of a passage.
+SENTENCE = 8
+#: Words that a passage has beyond stock sentences.
+BEYOND = 8
 COMMON_SHARE = 0.005
 #: Covered words from which a run is a passage, whatever number of documents holds it.
 PASSAGE = 14
@@ -74,6 +79,11 @@ class WuManber:
         rare = max(stock, int(OWN_SHARE * len(self.words)))
         self.own = {i: frozenset(k for k, x in enumerate(w) if using[x] <= rare) for i, w in self.words.items()}
         self.generic = {i: frozenset(k + d for k in range(len(w) - PHRASE + 1) if len(phrase[tuple(w[k : k + PHRASE])]) > stock for d in range(PHRASE)) for i, w in self.words.items()}
+        sentence: dict[tuple[str, ...], set[int]] = defaultdict(set)
+        for i, w in self.words.items():
+            for k in range(len(w) - SENTENCE + 1):
+                sentence[tuple(w[k : k + SENTENCE])].add(i)
+        self.shared = {i: frozenset(k + d for k in range(len(w) - SENTENCE + 1) if len(sentence[tuple(w[k : k + SENTENCE])]) > stock for d in range(SENTENCE)) for i, w in self.words.items()}
         where: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         for i, t in items:
             b = t.encode("utf-8")
@@ -197,9 +207,9 @@ def _search(batches: Iterator[pa.RecordBatch], engine: WuManber) -> Iterator[pa.
                         if len(part) >= MIN_RUN:
                             covered |= part
                         if len(part) >= PASSAGE:
-                            passages.append(part - engine.generic[item])
+                            passages.append(part - engine.shared[item])
                 left = covered - engine.generic[item]
-                if left:
+                if left or passages:
                     out_row.append(r)  # noqa: B023
                     out_print.append(mark)  # noqa: B023
                     out_item.append(item)  # noqa: B023
@@ -247,7 +257,7 @@ def leaked_words(docs: DataFrame, key: str, text: str, items: DataFrame, item: s
     last of them where they are less than a passage, ``runs`` the positions in each run that is a passage.
     """
     n_items = items.count()
-    stock = max(3, int(STOCK_SHARE * n_items + 0.5))
+    stock = max(1, int(STOCK_SHARE * n_items + 0.5))
     src = docs.select(docs[key].alias("key"), plain_form(docs[text]).alias("text")).where("text is not null")
     kind = dict(src.dtypes)["key"]
     schema = f"key {kind}, print bigint, item bigint, at array<int>, own array<int>, alone array<int>, runs array<struct<at: array<int>, own: array<int>>>"
@@ -277,7 +287,7 @@ def leaked_items(docs: DataFrame, key: str, text: str, items: DataFrame, item: s
     # what a passage has beyond that stock sentence of which it holds most
     beyond = lambda c: F.array_min(F.concat(F.array(F.size(c)), F.transform("stock", lambda s: F.size(F.filter(c, lambda p: out(p, s))))))
     whole = F.transform("runs", lambda x: F.struct(beyond(x["at"]).alias("n_words"), beyond(x["own"]).alias("n_own")))
-    counts = F.concat(F.array(F.struct(size("at").alias("n_words"), size("own").alias("n_own"))), whole)
-    enough = F.filter(counts, lambda x: (x["n_words"] >= min_words) & (x["n_own"] >= min_own))
-    found = left.select("key", "item", F.explode(enough).alias("x"))
+    enough = lambda n: lambda x: (x["n_words"] >= n) & (x["n_own"] >= min_own)
+    pieces = F.array(F.struct(size("at").alias("n_words"), size("own").alias("n_own")))
+    found = left.select("key", "item", F.explode(F.concat(F.filter(pieces, enough(min_words)), F.filter(whole, enough(min(BEYOND, min_words))))).alias("x"))
     return found.groupBy("key", "item").agg(F.max("x.n_words").alias("n_words"), F.max("x.n_own").alias("n_own")).withColumnsRenamed({"key": key, "item": item})

@@ -204,6 +204,18 @@ def test_many_leaks_stay_and_a_stock_sentence_goes(spark):
     assert found([(k, broken(stock, "same")) for k in range(60)] + other) == set(range(60))
 
 
+def test_passage_of_phrases_that_many_items_use(spark):
+    rnd = random.Random(5)
+    frames = ["a player pays some silver crowns", "and then barely resist the cursed summits", "at the edge of the map", "inside the lower wards and still", "as soon as the alarm sounds"]
+    items = [(k, f"Case {k} of " + " ".join(f"{x} name{k}" for x in rnd.sample(frames, 5))) for k in range(100)]
+    own = "Yon fearless salt archive of Hrothmrocieth Dwyrghast a player pays some silver crowns thrice and then barely resist the cursed summits"
+    items.append((500, own + " while seven sparrows sing over the harbor"))
+    docs = [(1, f"Other prose. {own} more."), (2, "They went to stay at the edge of the map as soon as the alarm sounds inside the lower wards and still nothing.")]
+    i = spark.createDataFrame(items, "item_id bigint, text string")
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in leakage.leaked_items(df, "doc_id", "text", i, "item_id", "text").collect()} == {(1, 500)}
+
+
 # --- p9: statistics and shape
 def test_chunks_merge_to_the_whole(spark):
     rnd = random.Random(4)
