@@ -158,7 +158,7 @@ class Container:
         self.path, self.score = path, score
 
 
-def _html(text: str, found: list[Container]) -> str:
+def _html(text: str, found: list[Container], won: frozenset[str]) -> str:
     """Tags out, with the path of open elements; blocks become lines, list items and cells keep their marks."""
     if "<" not in text and "-->" not in text:
         return text
@@ -193,7 +193,7 @@ def _html(text: str, found: list[Container]) -> str:
             if name not in ("br", "hr", "img", "meta", "link", "col", "nowiki") and not attrs.endswith("/"):
                 stack.append((step, m.end()))
         found.append(Container("html:" + "/".join(path.split("/")[-4:]), score))
-        if score < STRONG:
+        if score < STRONG and found[-1].path not in won:
             continue
         out.append(text[at : m.start()])
         end = m.end()
@@ -225,7 +225,7 @@ def parse(text: str, table: bool = False, won: frozenset[str] | None = None) ->
         return " " if s == "\xa0" else s
 
     t = _ENTITY.sub(entity, text) if "&" in text else text
-    t = _html(t, found)
+    t = _html(t, found, won)
     for path, score, pattern, to in _RULES:
         if table and path in ("md:pipetable", "md:setext", "md:rule", "md:list", "md:ordered", "wiki:tableend", "wiki:nested-list", "md:quote", "latex:break"):
             continue
@@ -278,20 +278,23 @@ def path_votes(fields: DataFrame) -> DataFrame:
     return src.mapInArrow(_vote, _VOTES).groupBy("source", "path").agg(F.sum("score").alias("score"), F.sum("strong").alias("strong"), F.sum("doubtful").alias("doubtful"))
 
 
-#: The strong path whose presence in a host makes a doubtful one there markup.
+#: The strong path whose presence in a host makes a doubtful one there markup; for a tag, its own path.
 KIN = {"md:loneem": "md:em", "md:loneunder": "md:emunder", "md:lonetick": "md:code", "latex:lone": "latex:command"}
 
 
 def winning_paths(votes: DataFrame) -> DataFrame:
     """(source, won): doubtful paths that a host's own votes, or else all hosts together, make markup.
 
-    A doubtful path wins where the strong containers of its kin are at least ``WIN`` of both together.
+    A doubtful path wins where the strong containers of its kin are at least ``WIN`` of both together. A host without
+    a strong container of the kin, the null source too, has nothing to say: there the votes of all hosts count.
     """
-    kin = F.create_map(*[F.lit(x) for kv in KIN.items() for x in kv])
-    doubt = votes.where(F.col("path").isin(list(KIN))).select("source", "path", "doubtful", kin[F.col("path")].alias("kin"))
-    strong = votes.select("source", F.col("path").alias("kin"), "strong").where(F.col("kin").isin(list(KIN.values())))
-    both = doubt.join(strong, ["source", "kin"], "left").where(F.coalesce("strong", F.lit(0.0)) >= WIN * (F.coalesce("strong", F.lit(0.0)) + F.col("doubtful")))
-    return both.groupBy("source").agg(F.sort_array(F.collect_set("path")).alias("won"))
+    kin = F.coalesce(F.create_map(*[F.lit(x) for kv in KIN.items() for x in kv])[F.col("path")], F.col("path"))
+    both = votes.select("source", kin.alias("kin"), F.col("path"), "strong", "doubtful").where(F.col("path").isin(*KIN, *KIN.values()) | F.col("path").startswith("html:"))
+    own = both.groupBy("source", "kin").agg(F.sum("strong").alias("s"), F.sum("doubtful").alias("d"), F.collect_set(F.when(F.col("doubtful") > 0, F.col("path"))).alias("paths"))
+    every = both.groupBy("kin").agg(F.sum("strong").alias("s_all"), F.sum("doubtful").alias("d_all"))  # one row a path
+    wins = lambda s, d: F.col(s) >= WIN * (F.col(s) + F.col(d))
+    won = own.where(F.size("paths") > 0).join(every, "kin").where(F.when(F.col("s") > 0, wins("s", "d")).otherwise(wins("s_all", "d_all")))
+    return won.select("source", F.explode("paths").alias("path")).groupBy("source").agg(F.sort_array(F.collect_set("path")).alias("won"))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,7 +318,7 @@ def clean_texts(fields: DataFrame) -> DataFrame:
     are left out: they are clean. A record listed twice comes out twice.
     """
     won = winning_paths(path_votes(fields))
-    src = fields.where(F.col("text").rlike(MAYBE)).join(won, "source", "left")
+    src = fields.where(F.col("text").rlike(MAYBE)).join(won.withColumnRenamed("source", "host"), F.col("source").eqNullSafe(F.col("host")), "left")
     return src.select("field", "record_id", "text", "is_table", "won").mapInArrow(_extract, "field string, record_id bigint, clean string, marked boolean, kinds array<string>")
 
 

@@ -94,6 +94,14 @@ def test_host_votes_decide_doubtful_constructs(spark):
     assert {r.record_id: r.marked for r in markup.clean_texts(df).collect()} == {1: True, 2: True, 3: False, 4: False}
 
 
+def test_all_hosts_decide_where_a_host_has_no_vote(spark):
+    rows = [("f", k, "strong", "and *em* here, <i>more</i>", False) for k in range(9)]
+    rows += [("f", 20, "weak", "an *open end", False), ("f", 21, None, "an *open end", False), ("f", 22, "strong", "cut <i<5 open", False), ("f", 23, "strong", "see <th<5 open", False)]
+    df = spark.createDataFrame(rows, "field string, record_id bigint, source string, text string, is_table boolean")
+    got = {r.record_id: (r.marked, r.clean) for r in markup.clean_texts(df).collect() if r.record_id > 9}
+    assert got == {20: (True, "an open end"), 21: (True, "an open end"), 22: (True, "cut <5 open"), 23: (False, "see <th<5 open")}
+
+
 # --- p6: survivors
 def test_survivors_against_brute_force(spark):
     rnd = random.Random(7)
