@@ -1,11 +1,15 @@
 """Passages of held-out evaluation items inside a corpus, by Wu-Manber multi-pattern search.
 
 Both sides are brought to one form in the JVM (lower case, markup and hidden characters removed, hyphenated line
-breaks rejoined, everything but letters and digits one blank). The patterns are the windows of ``WINDOW`` bytes that
-begin at the words of the items. Over the raw bytes of an Arrow batch, many cursors move at once: a table indexed by
-the hash of the last ``BLOCK`` bytes of the window gives the shift; where it is zero, the bucket of that suffix is
-compared with the window byte by byte (as three machine words). Windows that stand in more than ``stock_share`` of
-the items are phrases of the genre, not of an item, and open no search.
+breaks rejoined, everything but letters and digits one blank). Items of one form are one text, searched for once and
+reported under all their ids. The patterns are the windows of ``WINDOW`` bytes that begin at the words of the texts.
+Over the raw bytes of an Arrow batch, many cursors move at once: a table indexed by the hash of the last ``BLOCK``
+bytes of the window gives the shift; where it is zero, the bucket of that suffix is compared with the window byte by
+byte (as three machine words). Windows that stand in more than ``stock_share`` of the texts are phrases of the genre,
+not of an item, and open no search.
+
+How many texts hold a word, a phrase, a sentence or a window is counted once in Spark over all items; each text
+carries the places that are common, so that no result depends on how items are put together for a search.
 
 A hit is then extended word by word in both directions over the item and the document, tolerating changed, added and
 missing words; the words of an item that are covered count, but for phrases of the genre (runs of five words that
@@ -14,20 +18,24 @@ stand in many items). A stock sentence is known by its shape: a short run (less
 else. It is taken out by counts over the whole corpus; documents that hold more of the item have no vote, however many
 they are, and a run of ``PASSAGE`` words or more that goes well beyond each stock sentence stays. A document is reported
 with an item if enough of the item's words remain, and enough of them are its own (words that few other items use). In
-a run that is a passage, phrases of the genre count too, but not sentences that many items share.
+a run that is a passage, phrases of the genre count too, but not sentences that many items share. A text that shares
+most of its words with many others is no carrier of a stock sentence but one of a family of near-copies; its passages
+count whole.
 
-The items are the stated query set: they are read in blocks of at most ``BLOCK_BYTES`` of text, each shipped to the
-workers by itself, against all documents.
+The items are the stated query set: they are read in blocks of at most ``BLOCK_BYTES`` of text, ``PASS_BLOCKS`` of them
+in one scan of the documents. What is shipped is the text of a block with its common places; the workers build the
+tables, once each.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from hashlib import blake2b
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +46,7 @@ BLOCK = 8
 TABLE_BITS = 21
 STRIP = 2048
 BLOCK_BYTES = 8 << 20
+PASS_BLOCKS = 4
 MIN_WORDS = 10
 MIN_OWN = 6
 MIN_RUN = 5
@@ -52,8 +61,11 @@ COMMON_SHARE = 0.005
 #: Covered words from which a run is a passage, whatever number of documents holds it.
 PASSAGE = 14
 
+#: Share of a text's words in sentences shared with many others from which it is one of a family of near-copies.
+FAMILY = 0.5
+
 #: What is taken out without a trace, and what is left as one blank.
-_DROP = r"<[^<>]{0,300}>|\]\([^()\s]{0,300}\)|[-‐‑]\s*\n\s*|[­​-‏⁠-⁤﻿*_`\[\]~]"
+_DROP = r"</?[A-Za-z!][^<>]*+>|\]\([^()\s]*+\)|[-‐‑]\s*\n\s*|[­​-‏⁠-⁤﻿*_`\[\]~]"
 _BLANK = r"[^\p{L}\p{N}]+"
 
 
@@ -63,42 +75,39 @@ def plain_form(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(dropped, F.lit(_BLANK), F.lit(" "))), F.lit(" "))
 
 
+#: (text id, text, places of common words, starts of common phrases, of common sentences, of common windows)
+Item = tuple[int, str, list[int], list[int], list[int], list[int]]
+
+
 class WuManber:
     """Shift table, suffix buckets and comparison for windows of one length."""
 
-    def __init__(self, items: list[tuple[int, str]], stock: int):
-        self.words = {i: t.split() for i, t in items}
-        # runs of PHRASE words that many items share, and words that few items use
-        phrase: dict[tuple[str, ...], set[int]] = defaultdict(set)
-        using: dict[str, int] = defaultdict(int)
-        for i, w in self.words.items():
-            for x in set(w):
-                using[x] += 1
-            for k in range(len(w) - PHRASE + 1):
-                phrase[tuple(w[k : k + PHRASE])].add(i)
-        rare = max(stock, int(OWN_SHARE * len(self.words)))
-        self.own = {i: frozenset(k for k, x in enumerate(w) if using[x] <= rare) for i, w in self.words.items()}
-        self.generic = {i: frozenset(k + d for k in range(len(w) - PHRASE + 1) if len(phrase[tuple(w[k : k + PHRASE])]) > stock for d in range(PHRASE)) for i, w in self.words.items()}
-        sentence: dict[tuple[str, ...], set[int]] = defaultdict(set)
-        for i, w in self.words.items():
-            for k in range(len(w) - SENTENCE + 1):
-                sentence[tuple(w[k : k + SENTENCE])].add(i)
-        self.shared = {i: frozenset(k + d for k in range(len(w) - SENTENCE + 1) if len(sentence[tuple(w[k : k + SENTENCE])]) > stock for d in range(SENTENCE)) for i, w in self.words.items()}
-        where: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for i, t in items:
-            b = t.encode("utf-8")
-            at, k = b.find(b" "), 0
-            while at >= 0 and at + WINDOW <= len(b):
-                where[b[at : at + WINDOW]].append((i, k))
-                at, k = b.find(b" ", at + 1), k + 1
-        self.postings, keys = [], []
-        for key, places in where.items():
-            if len({i for i, _ in places}) <= stock:
-                keys.append(key)
-                self.postings.append(places)
-        raw = np.frombuffer(b"".join(keys) or b"\0" * WINDOW, dtype=np.uint8).reshape(-1, WINDOW)
-        if not keys:
-            raw = raw[:0]
+    def __init__(self, items: list[Item]):
+        self.text = {x[0]: x[1] for x in items}
+        self._words: dict[int, list[str]] = {}
+        self.own, self.generic, self.shared = {}, {}, {}
+        windows, of, at = [], [], []
+        for i, t, common, phrases, sentences, closed in items:
+            n = t.count(" ") - 1
+            spread = lambda starts, size: frozenset(k + d for k in starts for d in range(size))
+            self.shared[i], self.generic[i] = spread(sentences, SENTENCE), spread(phrases, PHRASE)
+            self.own[i] = frozenset(range(n)) - frozenset(common)
+            if len(self.shared[i]) > FAMILY * n:
+                self.shared[i], self.own[i], closed = frozenset(), frozenset(range(n)), []
+            raw = np.frombuffer(t.encode("utf-8"), dtype=np.uint8)
+            start = np.flatnonzero(raw == 32)
+            k = np.arange(len(start))
+            keep = (start + WINDOW <= len(raw)) & ~np.isin(k, closed)
+            start, k = start[keep], k[keep]
+            windows.append(raw[start[:, None] + np.arange(WINDOW)])
+            of.append(np.full(len(k), i, dtype=np.int64))
+            at.append(k)
+        every = np.ascontiguousarray(np.concatenate(windows)) if windows else np.zeros((0, WINDOW), np.uint8)
+        keys, which = np.unique(every.view(f"V{WINDOW}").ravel(), return_inverse=True)
+        order = np.argsort(which, kind="stable")
+        self.first = np.searchsorted(which[order], np.arange(len(keys) + 1))
+        self.of, self.at = (np.concatenate(x)[order] if x else np.zeros(0, np.int64) for x in (of, at))
+        raw = np.ascontiguousarray(keys).view(np.uint8).reshape(-1, WINDOW)
         word = lambda o: np.ascontiguousarray(raw[:, o : o + BLOCK]).view("<u8").ravel()
         self.shift = np.full(1 << TABLE_BITS, WINDOW - BLOCK + 1, dtype=np.uint8)
         for o in range(WINDOW - BLOCK + 1):
@@ -109,6 +118,16 @@ class WuManber:
         self.suffix, self.order = suffix[order], order
         self.head, self.middle = word(0)[order], word(WINDOW - 2 * BLOCK)[order]
 
+    def words(self, item: int) -> list[str]:
+        if item not in self._words:
+            self._words[item] = self.text[item].split()
+        return self._words[item]
+
+    def places(self, pattern: int) -> list[tuple[int, int]]:
+        """(item, word) where a window stands."""
+        a, z = self.first[pattern], self.first[pattern + 1]
+        return list(zip(self.of[a:z].tolist(), self.at[a:z].tolist(), strict=True))
+
     @staticmethod
     def hash(x: np.ndarray) -> np.ndarray:
         return ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
@@ -180,105 +199,164 @@ _GAPS = sorted(((x, y) for x in range(4) for y in range(4) if x + y), key=lambda
 
 
 _AT = pa.list_(pa.int32())
+_RUNS = pa.list_(pa.struct([("at", _AT), ("own", _AT)]))
+#: What a worker built of a block; a few blocks at most are searched in one scan.
+_BUILT: dict[str, WuManber] = {}
+
+
+def _engine(name: str, shipped: Broadcast) -> WuManber:
+    if (e := _BUILT.get(name)) is None:
+        while len(_BUILT) >= PASS_BLOCKS:
+            del _BUILT[next(iter(_BUILT))]
+        e = _BUILT[name] = WuManber(shipped.value)
+    return e
+
+
+def _bytes_of(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets from 0) of a column of strings, whatever the width of its offsets."""
+    if not len(text):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, offsets, data = text.buffers()
+    wide = pa.types.is_large_string(text.type)
+    if not (wide or pa.types.is_string(text.type)):
+        raise TypeError(f"a column of strings is needed, not {text.type}")
+    o = np.frombuffer(offsets, dtype=np.int64 if wide else np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64)
+    raw = np.frombuffer(data, dtype=np.uint8)[o[0] : o[-1]] if data is not None else np.zeros(0, np.uint8)
+    return raw, o - o[0]
+
+
+def _find_in(engine: WuManber, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple]:
+    """(row, item, at, own, alone, runs) of every item that a row of the batch holds words of."""
+    start, pattern = engine.find(data)
+    row = np.searchsorted(offsets, start, side="right") - 1
+    inside = start + WINDOW <= offsets[row + 1] if len(start) else np.zeros(0, bool)
+    start, pattern, row = start[inside], pattern[inside], row[inside]
+    order = np.lexsort((start, row))
+    cuts = np.flatnonzero(np.diff(row[order])) + 1
+    for part in np.split(order, cuts) if len(order) else []:
+        r = int(row[part[0]])
+        raw = data[offsets[r] : offsets[r + 1]]
+        words = raw.tobytes().decode("utf-8").split()
+        starts = np.flatnonzero(raw == 32)
+        seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for o, j in zip(part.tolist(), np.searchsorted(starts, start[part] - offsets[r]).tolist(), strict=True):
+            for item, p in engine.places(int(pattern[o])):
+                seeds[item].append((p, j))
+        for item, places in seeds.items():
+            covered: set[int] = set()
+            passages = []
+            for p, j in places:
+                if p not in covered:
+                    part_ = extend(engine.words(item), words, p, j)
+                    if len(part_) >= MIN_RUN:
+                        covered |= part_
+                    if len(part_) >= PASSAGE:
+                        passages.append(part_ - engine.shared[item])
+            left, own = covered - engine.generic[item], engine.own[item]
+            if left or passages:
+                yield r, item, sorted(left), sorted(left & own), [min(covered), max(covered)] if len(covered) < PASSAGE else None, [{"at": sorted(x), "own": sorted(x & own)} for x in passages]
+
+
+def _search(batches: Iterator[pa.RecordBatch], blocks: list, first: bool) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offsets = _bytes_of(batch.column("text"))
+        rows = [x for b in blocks for x in _find_in(_engine(*b), data, offsets)]
+        cols = list(zip(*rows, strict=True)) or [()] * 6
+        take = pa.array(cols[0], type=pa.int64())
+        out = [batch.column("key").take(take), batch.column("print").take(take), *(pa.array(c, type=t) for c, t in zip(cols[1:], (pa.int64(), _AT, _AT, _AT, _RUNS), strict=True))]
+        names = ["key", "print", "item", "at", "own", "alone", "runs"]
+        yield pa.RecordBatch.from_arrays([*out, pa.nulls(len(rows), pa.list_(pa.int64()))], names=[*names, "prints"])
+        if first:  # all documents of the batch, to be counted
+            prints = pa.array([batch.column("print").to_pylist()], type=pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, c.type) for c in out), prints], names=[*names, "prints"])
+
+
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(item, kind, key, at): where each word, phrase, sentence and window stands in a text."""
+    for b in batches:
+        rows: list[tuple[int, str, bytes, list[int]]] = []
+        for i, t in zip(b.column("item").to_pylist(), b.column("text").to_pylist(), strict=True):
+            w, raw = t.split(), t.encode("utf-8")
+            where: dict[tuple[str, bytes], list[int]] = defaultdict(list)
+            for kind, size in (("word", 1), ("phrase", PHRASE), ("sentence", SENTENCE)):
+                for k in range(len(w) - size + 1):
+                    where[kind, " ".join(w[k : k + size]).encode("utf-8")].append(k)
+            at, k = raw.find(b" "), 0
+            while at >= 0 and at + WINDOW <= len(raw):
+                where["window", raw[at : at + WINDOW]].append(k)
+                at, k = raw.find(b" ", at + 1), k + 1
+            rows += [(i, kind, key, places) for (kind, key), places in where.items()]
+        cols = list(zip(*rows, strict=True)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.binary(), _AT), strict=True)], names=["item", "kind", "key", "at"])
+
+
+def item_texts(items: DataFrame, item: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(ids, texts): (item, id) of every item, and (item, text, common, phrases, sentences, windows) of every text.
+
+    Texts are numbered as they come. The arrays are the places of its words, phrases, sentences and windows
+    that stand in many texts of the whole table.
+    """
+    rows = items.select(items[item].alias("id"), plain_form(items[text]).alias("text")).where("text is not null and id is not null")
+    texts = cut(rows.select("text").distinct().withColumn("item", F.monotonically_increasing_id()))
+    ids = rows.join(texts, "text").select("item", "id").distinct()
+    n = texts.count()
+    stock = max(1, int(STOCK_SHARE * n + 0.5))
+    grams = texts.mapInArrow(_grams, "item bigint, kind string, key binary, at array<int>")
+    many = grams.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > F.when(F.col("kind") == "word", max(stock, int(OWN_SHARE * n))).otherwise(stock))
+    places = lambda kind: F.array_sort(F.flatten(F.collect_list(F.when(F.col("kind") == kind, F.col("at")))))
+    common = grams.join(many.select("kind", "key"), ["kind", "key"]).groupBy("item").agg(*(places(k).alias(k) for k in _KINDS))
+    none = F.array().cast("array<int>")
+    return ids, texts.join(common, "item", "left").select("item", "text", *(F.coalesce(k, none).alias(k) for k in _KINDS))
 
 
-def _search(batches: Iterator[pa.RecordBatch], engine: WuManber) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        text = batch.column("text")
-        out_row, out_print, out_item, out_at, out_own, out_alone, out_runs = [], [], [], [], [], [], []
-        offsets = np.frombuffer(text.buffers()[1], dtype=np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64)
-        data = np.frombuffer(text.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]] if len(text) and text.buffers()[2] is not None else np.zeros(0, np.uint8)
-        offsets = offsets - offsets[0] if len(offsets) else offsets
-        start, pattern = engine.find(data)
-        row = np.searchsorted(offsets, start, side="right") - 1
-        inside = start + WINDOW <= offsets[row + 1] if len(start) else np.zeros(0, bool)
-        start, pattern, row = start[inside], pattern[inside], row[inside]
-        order = np.lexsort((start, row))
-        last, words, starts, mark = -1, [], [], 0
-        seeds: dict[int, list[tuple[int, int]]] = {}
-
-        def close(r: int) -> None:
-            for item, places in seeds.items():  # noqa: B023
-                covered: set[int] = set()
-                passages = []
-                for p, j in places:
-                    if p not in covered:
-                        part = extend(engine.words[item], words, p, j)  # noqa: B023
-                        if len(part) >= MIN_RUN:
-                            covered |= part
-                        if len(part) >= PASSAGE:
-                            passages.append(part - engine.shared[item])
-                left = covered - engine.generic[item]
-                if left or passages:
-                    out_row.append(r)  # noqa: B023
-                    out_print.append(mark)  # noqa: B023
-                    out_item.append(item)  # noqa: B023
-                    out_at.append(sorted(left))  # noqa: B023
-                    out_own.append(sorted(left & engine.own[item]))  # noqa: B023
-                    out_alone.append([min(covered), max(covered)] if len(covered) < PASSAGE else None)  # noqa: B023
-                    out_runs.append([{"at": sorted(x), "own": sorted(x & engine.own[item])} for x in passages])  # noqa: B023
-
-        for o in order.tolist():
-            r = int(row[o])
-            if r != last:
-                close(last)
-                raw = data[offsets[r] : offsets[r + 1]]
-                plain = raw.tobytes()
-                words, mark = plain.decode("utf-8").split(), int.from_bytes(blake2b(plain, digest_size=8).digest(), "little", signed=True)
-                starts = np.flatnonzero(raw == 32)
-                seeds, last = {}, r
-            j = int(np.searchsorted(starts, start[o] - offsets[r]))
-            for item, p in engine.postings[int(pattern[o])]:
-                seeds.setdefault(item, []).append((p, j))
-        close(last)
-        take = pa.array(out_row, type=pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("key").take(take), pa.array(out_print, type=pa.int64()), pa.array(out_item, type=pa.int64()), pa.array(out_at, type=_AT), pa.array(out_own, type=_AT), pa.array(out_alone, type=_AT), pa.array(out_runs, type=pa.list_(pa.struct([("at", _AT), ("own", _AT)])))],
-            names=["key", "print", "item", "at", "own", "alone", "runs"],
-        )
-
-
-def _blocks(items: DataFrame, item: str, text: str) -> Iterator[list[tuple[int, str]]]:
+_KINDS = ("word", "phrase", "sentence", "window")
+
+
+def _blocks(texts: DataFrame, block_bytes: int) -> Iterator[list[Item]]:
     part, size = [], 0
-    for i, t in items.select(item, plain_form(items[text])).where(F.col(text).isNotNull()).orderBy(item).toLocalIterator():
-        part.append((i, t))
-        size += len(t)
-        if size > BLOCK_BYTES:
+    for r in texts.orderBy("item").toLocalIterator():
+        part.append(tuple(r))
+        size += len(r["text"])
+        if size > block_bytes:
             yield part
             part, size = [], 0
     if part:
         yield part
 
 
-def leaked_words(docs: DataFrame, key: str, text: str, items: DataFrame, item: str, item_text: str) -> DataFrame:
-    """(key, print, item, at, own, alone, runs): what is found in each document, before stock sentences are taken out.
+def leaked_words(docs: DataFrame, key: str, text: str, texts: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(key, print, item, at, own, alone, runs, prints): what is found in each document, before stock sentences go.
 
-    ``print`` tells documents of other words apart, ``at`` and ``own`` are item word positions, ``alone`` the first and
-    last of them where they are less than a passage, ``runs`` the positions in each run that is a passage.
+    ``texts`` are those of ``item_texts``. ``print`` tells documents of other words apart, ``at`` and ``own`` are item
+    word positions, ``alone`` the first and last of them where they are less than a passage, ``runs`` the positions in
+    each run that is a passage. Rows of another kind have nothing but ``prints``: those of all documents of a batch.
     """
-    n_items = items.count()
-    stock = max(1, int(STOCK_SHARE * n_items + 0.5))
-    src = docs.select(docs[key].alias("key"), plain_form(docs[text]).alias("text")).where("text is not null")
+    src = docs.select(docs[key].alias("key"), plain_form(docs[text]).alias("text")).where("text is not null").withColumn("print", F.xxhash64("text"))
     kind = dict(src.dtypes)["key"]
-    schema = f"key {kind}, print bigint, item bigint, at array<int>, own array<int>, alone array<int>, runs array<struct<at: array<int>, own: array<int>>>"
+    schema = f"key {kind}, print bigint, item bigint, at array<int>, own array<int>, alone array<int>, runs array<struct<at: array<int>, own: array<int>>>, prints array<bigint>"
+    sc = docs.sparkSession.sparkContext
+    shipped = [(uuid4().hex, sc.broadcast(b)) for b in _blocks(texts, block_bytes)]
     out = None
-    for block in _blocks(items, item, item_text):
-        shipped = docs.sparkSession.sparkContext.broadcast(WuManber(block, stock))
-        part = src.mapInArrow(lambda b, s=shipped: _search(b, s.value), schema)
+    for k in range(0, len(shipped), PASS_BLOCKS):
+        part = src.mapInArrow(lambda b, s=shipped[k : k + PASS_BLOCKS], f=not k: _search(b, s, f), schema)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def leaked_items(docs: DataFrame, key: str, text: str, items: DataFrame, item: str, item_text: str, min_words: int = MIN_WORDS, min_own: int = MIN_OWN) -> DataFrame:
+def leaked_items(docs: DataFrame, key: str, text: str, items: DataFrame, item: str, item_text: str, min_words: int = MIN_WORDS, min_own: int = MIN_OWN, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(key, item, n_words, n_own) of every document that holds a passage of an item.
 
     Null texts and items hold nothing; an item shorter than ``min_words`` cannot be found; copies of a document are
-    each reported but count once towards a stock sentence; an item listed twice is reported under both ids.
+    each reported but count once towards a stock sentence; an item listed several times is one text, reported under
+    each of its ids; repeated rows of a key give one row.
     """
-    # read twice below; a few rows beside the corpus, kept where all executors can read them
-    hits = cut(leaked_words(docs, key, text, items, item, item_text))
-    # how many distinct documents there may be: all rows, from the files' footers; what one document holds is no stock
-    limit = max(1, int(COMMON_SHARE * docs.count()))
+    ids, texts = item_texts(items, item, item_text)
+    # read three times below; a few rows beside the corpus, kept where all executors can read them
+    found = cut(leaked_words(docs, key, text, texts, block_bytes))
+    hits = found.where("prints is null").drop("prints")
+    n_docs = found.where("prints is not null").select(F.explode("prints").alias("print")).distinct().count()
+    # what one document holds is no stock
+    limit = max(1, int(COMMON_SHARE * n_docs))
     spread = hits.where("alone is not null").select("print", "item", "alone").distinct().groupBy("item", "alone").count().where(F.col("count") > limit)
     stock = spread.groupBy("item").agg(F.collect_list("alone").alias("stock"))  # at most some runs of each first word of one item
     left = hits.join(stock, "item", "left").withColumn("stock", F.coalesce("stock", F.array().cast("array<array<int>>")))
@@ -289,5 +367,6 @@ def leaked_items(docs: DataFrame, key: str, text: str, items: DataFrame, item: s
     whole = F.transform("runs", lambda x: F.struct(beyond(x["at"]).alias("n_words"), beyond(x["own"]).alias("n_own")))
     enough = lambda n: lambda x: (x["n_words"] >= n) & (x["n_own"] >= min_own)
     pieces = F.array(F.struct(size("at").alias("n_words"), size("own").alias("n_own")))
-    found = left.select("key", "item", F.explode(F.concat(F.filter(pieces, enough(min_words)), F.filter(whole, enough(min(BEYOND, min_words))))).alias("x"))
-    return found.groupBy("key", "item").agg(F.max("x.n_words").alias("n_words"), F.max("x.n_own").alias("n_own")).withColumnsRenamed({"key": key, "item": item})
+    best = left.select("key", "item", F.explode(F.concat(F.filter(pieces, enough(min_words)), F.filter(whole, enough(min(BEYOND, min_words))))).alias("x"))
+    best = best.groupBy("key", "item").agg(F.max("x.n_words").alias("n_words"), F.max("x.n_own").alias("n_own"))
+    return best.join(ids, "item").select(F.col("key").alias(key), F.col("id").alias(item), "n_words", "n_own")

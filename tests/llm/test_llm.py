@@ -165,11 +165,11 @@ def test_wu_manber_against_find(spark):
     rnd = random.Random(2)
     vocab = ["omen", "tower", "of", "the", "pale", "judges", "rampart", "silver", "while", "broken"]
     items = [(i, " " + " ".join(rnd.choice(vocab) for _ in range(40)) + " ") for i in range(20)]
-    engine = leakage.WuManber(items, stock=20)
+    engine = leakage.WuManber([(i, t, [], [], [], []) for i, t in items])
     doc = " " + " ".join(rnd.choice(vocab) for _ in range(3000)) + items[3][1] + " end "
     data = np.frombuffer(doc.encode(), dtype=np.uint8)
     start, pattern = engine.find(data)
-    got = {(int(s), x) for s, p in zip(start, pattern) for x in engine.postings[int(p)]}
+    got = {(int(s), x) for s, p in zip(start, pattern) for x in engine.places(int(p))}
     want = set()
     for i, t in items:
         at, k = t.find(" "), 0
@@ -212,6 +212,51 @@ def test_many_leaks_stay_and_a_stock_sentence_goes(spark):
     assert found([(k, broken(stock, "same")) for k in range(60)] + other) == set(range(60))
 
 
+ITEM = "Suppose that Clunzhul and the stubborn journal of Rhukphael each claim the relic; which of the ramparts must first feed the lasting rival before dawn breaks over Iethbrae?"
+
+
+@pytest.mark.parametrize("copies", [2, 4, 50])
+def test_an_item_under_many_ids(spark, copies):
+    i = spark.createDataFrame([(k, ITEM if k % 2 else ITEM.upper()) for k in range(copies)] + [(100, "Another text about quiet harbors and their silver bells at the end of winter nights")], "item_id bigint, text string")
+    df = spark.createDataFrame([(1, ITEM), (2, "nothing of it")], "doc_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in leakage.leaked_items(df, "doc_id", "text", i, "item_id", "text").collect()} == {(1, k) for k in range(copies)}
+
+
+def test_blocks_of_items_change_nothing(spark):
+    rnd = random.Random(11)
+    frames = ["a player pays some silver crowns", "and then barely resist the cursed summits", "at the edge of the map", "inside the lower wards and still", "as soon as the alarm sounds", "unless the warden has already spoken"]
+    items = [(k, " ".join(f"{x} name{rnd.randrange(50)} of{k}" for x in rnd.sample(frames, 4))) for k in range(60)]
+    docs = [(k, f"Prose {k}. {' '.join(t.split()[rnd.randrange(8):])} end.") for k, t in items] + [(k, " ".join(rnd.sample(frames, 3))) for k in range(100, 130)]
+    i, df = spark.createDataFrame(items, "item_id bigint, text string"), spark.createDataFrame(docs, "doc_id bigint, text string")
+    run = lambda n: set(map(tuple, leakage.leaked_items(df, "doc_id", "text", i, "item_id", "text", block_bytes=n).collect()))
+    whole = run(8 << 20)
+    assert whole and whole == run(1 << 10) == run(1)
+
+
+def test_near_copies_of_an_item(spark):
+    """A third of all items are one text with a word changed; documents with any of them are found with all of them."""
+    words = ITEM.split()
+    copies = [(k, " ".join(words[: k % 20] + [f"changed{k}"] + words[k % 20 + 1 :])) for k in range(40)]
+    rest = [(100 + k, f"Case {k} tells how the herald of town{k} lost name{k} and found bell{k} near gate{k} before harvest{k} came with rain{k}") for k in range(80)]
+    i = spark.createDataFrame(copies + rest, "item_id bigint, text string")
+    df = spark.createDataFrame([(1, copies[3][1]), (2, f"Prose. {ITEM} And more."), (3, "the stubborn journal of someone else")], "doc_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in leakage.leaked_items(df, "doc_id", "text", i, "item_id", "text").collect()}
+    assert got == {(d, k) for d in (1, 2) for k, _ in copies}
+
+
+def test_markup_longer_than_a_line_and_wide_strings(spark):
+    text = ITEM.replace("relic", '<span class="' + "x " * 400 + '">relic</span>').replace("journal", "[journal](" + "a/" * 300 + "b.md)")
+    i = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
+    df = spark.createDataFrame([(1, text), (2, "if 5 < 6 then nothing > all")], "doc_id bigint, text string")
+    found = lambda: {tuple(r) for r in leakage.leaked_items(df, "doc_id", "text", i, "item_id", "text").collect()}
+    narrow = found()
+    spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "true")
+    try:
+        assert narrow == found() == {(1, 1, 28, 28)}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.useLargeVarTypes")
+
+
 def test_passage_of_phrases_that_many_items_use(spark):
     rnd = random.Random(5)
     frames = ["a player pays some silver crowns", "and then barely resist the cursed summits", "at the edge of the map", "inside the lower wards and still", "as soon as the alarm sounds"]
