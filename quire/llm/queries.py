@@ -71,6 +71,13 @@ def p5_clean(spark: SparkSession, d: str) -> DataFrame:
     return markup.clean_texts(_marked_fields(spark, d)).where("marked").select("field", "record_id", "clean", F.array_join("kinds", ",").alias("kinds"))
 
 
+def p5_votes(spark: SparkSession, d: str) -> DataFrame:
+    """What each book votes on each path; ``raised`` and ``lowered`` are the containers whose verdict is the vote's alone."""
+    v = markup.path_votes(markup.readings(_marked_fields(spark, d)))
+    weak = F.col("n") - F.col("strong")
+    return v.select("source", "path", "n", F.round("score", 6).alias("score"), F.round("overall", 6).alias("overall"), "won", F.when(F.col("won"), weak).otherwise(0).alias("raised"), F.when(F.col("won"), 0).otherwise(F.col("strong")).alias("lowered"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     out = survivors.glossary_survivors(table(spark, d, "glossary"), _words(spark, d))
     return out.select("group_id", "definition_from", "section_from")
@@ -115,7 +122,7 @@ FROM n, c
 """
 
 QUERIES = {
-    "p1_found": p1_found, "p1_forms": p1_forms, "p4_found": p4_found, "p4_restored": p4_restored, "p5_found": p5_found, "p5_clean": p5_clean, "p6_found": p6_found, "p6_survivors": p6_survivors, "p7_ids": p7_ids,
+    "p1_found": p1_found, "p1_forms": p1_forms, "p4_found": p4_found, "p4_restored": p4_restored, "p5_found": p5_found, "p5_clean": p5_clean, "p5_votes": p5_votes, "p6_found": p6_found, "p6_survivors": p6_survivors, "p7_ids": p7_ids,
     "p8_found": p8_found, "p9_found": p9_found, "p9_statistics": p9_statistics,
 }
 SQL = {"p9_statistics": P9_STATISTICS}

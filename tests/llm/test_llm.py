@@ -80,7 +80,7 @@ def test_markup(given, want):
 @pytest.mark.parametrize("plain", ["Multiply 3 * 4 * 2 for it.", "Costs $5 or $12 at market.", "Take the {red} and {blue}.", "misspelt [sic] there", "About ~30 paces", "if 5 < total", "Guard < 5 and Nerve > 2.", "A+B beats C/D", "Ash & Oak", "slot_a_lower", "#1 - or so", "", "15% of § 4"])
 def test_plain_writing(plain):
     clean, found = markup.parse(plain)
-    assert clean == plain and not any(c.score >= markup.STRONG for c in found)
+    assert clean == plain and not any(c.score >= markup.WIN for c in found)
 
 
 def test_pipe_layout_is_no_markup_of_a_table():
@@ -102,6 +102,26 @@ def test_all_hosts_decide_where_a_host_has_no_vote(spark):
     assert got == {20: (True, "an open end"), 21: (True, "an open end"), 22: (True, "cut <5 open"), 23: (False, "see <th<5 open")}
 
 
+def test_constructs_of_any_length():
+    long = "word " * 200 + "end"
+    for a, z in (("*", "*"), ("_", "_"), ("**", "**"), ("'''", "'''"), ("''", "''"), ("~~", "~~"), ("__", "__"), ("<i>", "</i>"), ("\\emph{", "}")):
+        assert markup.parse(f"see {a}{long}{z} here")[0] == f"see {long} here", a
+        assert markup.parse(f"see {a}{long}\nmore{z} here")[0] == f"see {long}\nmore here", a
+    assert markup.parse(f"see `{long}` here")[0] == f"see {long} here"
+    assert markup.parse(f"see ${long} = x^2$ here")[0] == f"see {long} = x^2 here"
+    for sign in ("*a ", "__a ", "_a ", "'''a ", "`a ", "<b ", "[[a ", "$a_ ", "{{a ", "\\emph{a "):  # never closed: no search runs twice over the same text
+        markup.parse(sign * 20000)
+
+
+def test_votes_decide_and_html_wins(spark):
+    v = {(r.source, r.path): r for r in queries.p5_votes(spark, D).collect()}
+    assert any(k[1].startswith("html:") and r.won for k, r in v.items())
+    rows = [("f", k, "b", "a <div>block</div> of it", False) for k in range(3)] + [("f", 9, "b", "cut <div", False)]
+    df = spark.createDataFrame(rows, "field string, record_id bigint, source string, text string, is_table boolean")
+    (r,) = markup.path_votes(markup.readings(df)).collect()
+    assert (r.path, r.won, r.n, r.strong) == ("html:div", True, 4, 3)
+
+
 # --- p6: survivors
 def test_survivors_against_brute_force(spark):
     rnd = random.Random(7)
