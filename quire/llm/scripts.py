@@ -3,7 +3,8 @@
 Each token's characters have a set of scripts in which they, or a look-alike of theirs, can be written. A token is
 mixed if its own scripts do not agree; it is a whole-script confusable if it agrees, but every letter has a look-alike
 in the script of the text around it. Intersecting the resolved sets over the token gives the scripts in which all of
-it can be spelled; the one that fits the text around it is selected and the token is respelled in it. Everything else
+it can be spelled; the one that fits the text around it is selected and the token is respelled in it. Of a mixed token that no script can spell whole, the letters that look like
+ones of its main script are respelled. Everything else
 that only looks like its plain spelling is normalised: full-width and other compatibility forms, ligatures, Roman
 numeral signs, letters taken apart into base and accent, singletons such as the Kelvin sign, characters that show
 nothing, blanks other than the ordinary one, and hyphens that look like the ASCII hyphen.
@@ -24,23 +25,36 @@ from pyspark.sql import functions as F
 
 from quire.session import cut
 
-# Letters of other scripts that look like these Latin ones.
-_CYRILLIC = dict(zip("авеёѕіїјкмнорстухһԁԛԝѵАВЕЁЅІЇЈКМНОРСТУХҺԀԚԜѴьӏгпэ", "aBeësiïjKMHopcTyxhdqwvABEËSIÏJKMHOPCTYXhdQWVbIrne", strict=True))
-_CYRILLIC |= {"в": "B", "к": "K", "м": "M", "н": "H", "т": "T"}
+# Letters of other scripts that look like these Latin ones, and Latin letters that look like others.
+_CYRILLIC = dict(zip("авеёѕіїјкмнорстухһԁԛԝѵАВЕЁЅІЇЈКМНОРСТУХҺԀԚԜѴьӏгп", "aBeësiïjKMHopcTyxhdqwvABEËSIÏJKMHOPCTYXhdQWVbIrn", strict=True))
+_CYRILLIC |= {"в": "b", "к": "k", "м": "m", "н": "h", "т": "t", "ӏ": "l"}
 _GREEK = dict(zip("αβγικνορτυχΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϲͿϳ", "aßyikvoptuxABEZHIKMNOPTYXCcJj", strict=True))
-#: Lower-case Cyrillic letters whose look-alike is a capital are look-alikes only in small capitals; not taken.
-_LOOSE = set("вкмнтьӏгпэγβιτκѵҺԀ")
-LATIN_OF = {"Cyrl": {k: v for k, v in _CYRILLIC.items() if k not in _LOOSE}, "Grek": {k: v for k, v in _GREEK.items() if k not in _LOOSE}}
-LIKE: dict[str, dict[str, str]] = {}
-for _script, _map in LATIN_OF.items():
-    for _a, _b in _map.items():
-        LIKE.setdefault(_a, {})["Latn"] = _b
-        LIKE.setdefault(_b, {})[_script] = _a
-for _a, _alike in list(LIKE.items()):  # a Cyrillic and a Greek letter that both look like one Latin letter
-    if (_b := _alike.get("Latn")) is not None:
-        for _other, _c in LIKE[_b].items():
-            if _c != _a:
-                _alike.setdefault(_other, _c)
+_ARMENIAN = dict(zip("օոսհյցզՕՏՍ", "onuhjgqOSU", strict=True))
+_CHEROKEE = dict(zip("ᎠᎡᎢᎥᎩᎪᎫᎬᎳᎷᎻᎽᏀᏃᏏᏒᏔᏙᏚᏞᏟᏢᏦᏧᏴᎺ", "DRTiYAJEWMHYGZbRWVSLCPKdBM", strict=True))
+_COPTIC = dict(zip("ⲟⲞⲣⲢⲥⲤⲂⲎⲒⲔⲘⲚⲦⲬ", "oOpPcCBHIKMNTX", strict=True))
+_LISU = dict(zip("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFNLSRVHWXYAEIOU", strict=True))
+_LATIN = dict(zip("ɑɡɩ", "agi", strict=True))
+#: Look-alikes of letters in small capitals or in some type only; they count in tokens of mixed scripts alone.
+_LOOSE = set("вкмнтьӏгпγβιτκѵҺԀ")
+_OTHERS = {"Cyrl": _CYRILLIC, "Grek": _GREEK, "Armn": _ARMENIAN, "Cher": _CHEROKEE, "Copt": _COPTIC, "Lisu": _LISU}
+
+
+def _alike(maps: dict[str, dict[str, str]]) -> dict[str, dict[str, str]]:
+    """character -> script -> its look-alike there."""
+    like: dict[str, dict[str, str]] = {}
+    for name, pairs in maps.items():
+        for a, b in pairs.items():
+            like.setdefault(a, {})["Latn"] = b
+            like.setdefault(b, {}).setdefault(name, a)
+    for alike in list(like.values()):  # two letters that both look like one Latin letter
+        if (b := alike.get("Latn")) is not None:
+            for other, c in like[b].items():
+                alike.setdefault(other, c)
+    return like
+
+
+LIKE = _alike({k: {a: b for a, b in m.items() if a not in _LOOSE} for k, m in _OTHERS.items()})
+LOOSE = _alike(_OTHERS)
 
 _INVISIBLE = regex.compile(r"[\p{Cf}\p{Default_Ignorable_Code_Point}\x00-\x08\x0e-\x1b\x7f]")
 _EMOJI_JOIN = regex.compile(r"(?<=[\p{Extended_Pictographic}\p{Emoji_Modifier}️])[‍️]|[︎️](?=\P{L}|$)(?<=\p{Extended_Pictographic}[︎️])")
@@ -52,37 +66,38 @@ _HYPHEN = regex.compile(r"[‐‑﹣⁃−](?<![−])")
 _LETTERS = regex.compile(r"[\p{L}\p{M}]+")
 
 
+#: Scripts whose letters are compared; in those of other scripts, such as Han and Kana, Latin letters are at home.
+_NAMES = {"LATIN": "Latn", "CYRILLIC": "Cyrl", "GREEK": "Grek", "ARMENIAN": "Armn", "CHEROKEE": "Cher", "COPTIC": "Copt", "LISU": "Lisu"}
+
+
 @lru_cache(4096)
 def script(c: str) -> str | None:
-    """Latn, Cyrl or Grek; any other letter is ``other``; what is no letter has none."""
-    if not c.isalpha():
-        return None
-    name = unicodedata.name(c, "")
-    return "Latn" if name.startswith("LATIN") else "Cyrl" if name.startswith("CYRILLIC") else "Grek" if name.startswith("GREEK") else "other"
+    """The script of a letter; any that is not compared is ``other``; what is no letter has none."""
+    return _NAMES.get(unicodedata.name(c, "").split(" ")[0], "other") if c.isalpha() else None
 
 
-def resolved(c: str) -> set[str]:
+def resolved(c: str, like: dict[str, dict[str, str]] = LIKE) -> set[str]:
     """Scripts in which the character, or a look-alike of it, can be written."""
     s = script(c)
     base = unicodedata.normalize("NFD", c)[0]
-    return {s} | set(LIKE.get(c, {}) or (LIKE.get(base, {}) if base != c else {}))
+    return {s} | set(like.get(c, {}) or (like.get(base, {}) if base != c else {}))
 
 
-def _spell(token: str, to: str) -> str | None:
-    out = []
-    for c in token:
-        s = script(c)
-        if s is None or s == to:
-            out.append(c)
-        elif (x := LIKE.get(c, {}).get(to)) is not None:
-            out.append(x)
-        else:
-            d = unicodedata.normalize("NFD", c)
-            x = LIKE.get(d[0], {}).get(to) if len(d) > 1 else None
-            if x is None:
-                return None
-            out.append(unicodedata.normalize("NFC", x + d[1:]))
-    return "".join(out)
+def _letter(c: str, to: str, like: dict[str, dict[str, str]]) -> str | None:
+    """The character in a script; itself where it has none."""
+    s = script(c)
+    if s is None or s == to:
+        return c
+    if (x := like.get(c, {}).get(to)) is not None:
+        return x
+    d = unicodedata.normalize("NFD", c)
+    x = like.get(d[0], {}).get(to) if len(d) > 1 else None
+    return None if x is None else unicodedata.normalize("NFC", x + d[1:])
+
+
+def _spell(token: str, to: str, like: dict[str, dict[str, str]] = LIKE) -> str | None:
+    out = [_letter(c, to, like) for c in token]
+    return None if None in out else "".join(out)
 
 
 def _certain(token: str, own: list[str]) -> str | None:
@@ -118,6 +133,8 @@ def consistent(text: str, host: str | None = None) -> tuple[str, bool, bool]:
     n = unicodedata.normalize("NFC", c)
     case |= n != t
     t = n
+    if any(c in _LATIN for c in t):
+        t, case = "".join(_LATIN.get(c, c) for c in t), True
     words = [(m.start(), m.group(), [s for s in map(script, m.group()) if s]) for m in _LETTERS.finditer(t)]
     votes: dict[str, int] = {}
     for _, w, own in words:
@@ -135,15 +152,19 @@ def consistent(text: str, host: str | None = None) -> tuple[str, bool, bool]:
     out, at = [], 0
     for start, w, own in words:
         scripts = set(own)
-        target = None
+        x = None
         if "other" in scripts or not own:
             continue
         if len(scripts) > 1:  # mixed
-            can = set.intersection(*(resolved(c) for c in w if script(c)))
-            can = {s for s in can if _spell(w, s) is not None}
-            if can:
-                most = max(sorted(can), key=lambda s: (s == around, own.count(s), s == "Latn"))
-                target = most
+            best = lambda can, own=own: max(sorted(can), key=lambda s: (s == around, own.count(s), s == "Latn"))
+            for like in (LIKE, LOOSE):
+                can = {s for s in set.intersection(*(resolved(c, like) for c in w if script(c))) if _spell(w, s, like) is not None}
+                if can:
+                    x = _spell(w, best(can), like)
+                    break
+            else:  # no script has it all: the letters that have a look-alike in the script of most of it
+                most = max(sorted(scripts), key=lambda s: (own.count(s), s == around, s == "Latn"))
+                x = "".join(_letter(c, most, LIKE) or c for c in w)
         else:
             s = own[0]
             if s != "Latn" or around not in (None, "Latn"):
@@ -152,9 +173,9 @@ def consistent(text: str, host: str | None = None) -> tuple[str, bool, bool]:
                 if can and not single:
                     if around is None:
                         unsure = True
-                    elif around != s and around in can and _spell(w, around) is not None:
-                        target = around
-        if target and (x := _spell(w, target)) is not None and x != w:
+                    elif around != s and around in can:
+                        x = _spell(w, around)
+        if x is not None and x != w:
             out.append(t[at:start] + x)
             at = start + len(w)
             case = True

@@ -17,6 +17,7 @@ COMMON = frozenset({"the", "of", "and", "a", "to", "in"})
 @pytest.mark.parametrize("given, want", [
     ("Ｂｌｅｓｓｅｄ Ａｒｃｈｉｖｅ", "Blessed Archive"), ("Tоwеr", "Tower"), ("Circle ΙΙΙ", "Circle III"), ("путешествия хранителeй", "путешествия хранителей"), ("E\u0301lan", "Élan"),
     ("Ha\u200bven", "Haven"), ("The\u00a0Vault", "The Vault"), ("Ofﬁce", "Office"), ("Token Ⅱ", "Token II"), ("Cold‐Scar", "Cold-Scar"), ("\u212ailn", "Kiln"), ("Рeмёcла\u2005y рeки", "Ремёсла у реки"), ("Мӧnchе", "Mönche"),
+    ("Ꭺrchive", "Archive"), ("օmen", "omen"), ("ɑrchive", "archive"), ("кot", "kot"), ("вook", "book"), ("ӏron", "lron"), ("ꓣing", "Ring"), ("Ⲣact", "Pact"), ("дragоn", "дragon"),
 ])
 def test_consistent(given, want):
     form, differs, _ = scripts.consistent(given)
@@ -24,7 +25,7 @@ def test_consistent(given, want):
     assert scripts.consistent(form) == (want, False, False)
 
 
-@pytest.mark.parametrize("plain", ["Kaberin’s Summit", "½ Manor", "Mirror²", "Courier™ Play", "№ 4", "Ω Journal", "δ lever", "Духи у реки", "Tempest — Passages", "MANHÃ Wreck", "Straße", "", "a  b\t\nc", "北の射手", "🧙\u200d♂️"])
+@pytest.mark.parametrize("plain", ["Kaberin’s Summit", "½ Manor", "Mirror²", "Courier™ Play", "№ 4", "Ω Journal", "δ lever", "Духи у реки", "Tempest — Passages", "MANHÃ Wreck", "Straße", "", "a  b\t\nc", "北の射手", "Tシャツ", "Δt and µm", "дом", "🧙\u200d♂️"])
 def test_plain_spellings_are_no_cases(plain):
     assert scripts.consistent(plain) == (plain, False, False)
 
@@ -58,6 +59,23 @@ def test_cases_and_no_cases(spark, words):
     assert {r.record_id for r in encoding.garbled_fields(df, words).collect()} == {1, 3, 9}
 
 
+def test_japanese_and_long_runs(spark):
+    clean = encoding.corpus_words([spark.createDataFrame([("北の射手は市場の裏で、旅の商人は暁に忘れられた地図を受け取る。",), ("naïve aöäüßb",), ("č ž řeka",)], "text string")])
+    text = "旅の商人は暁に忘れられた地図を受け取る"
+    rows = [("f", k, encoding.garble(text, c)) for k, c in enumerate([("utf-8", "cp1252"), ("utf-8", "latin-1"), ("utf-8", "cp932"), ("utf-8", "mac_roman") * 2])]
+    rows += [("f", 10, "xx" + encoding.garble("öäüß", ("utf-8", "cp1252"))), ("f", 11, encoding.garble("řeka", ("cp1250", "cp1252"))), ("f", 12, "��"), ("f", 13, text)]
+    df = spark.createDataFrame(rows, "field string, record_id bigint, text string")
+    back = {r.record_id: (r.restored, r.complete) for r in encoding.restore(df, clean).collect()}
+    whole = {k for k, v in back.items() if v == (text, True)}
+    assert whole >= {0, 1, 2, 3} and back[10] == ("xxöäüß", True) and back[11] == ("řeka", True) and back[12] == ("��", False) and 13 not in back
+
+
+def test_the_filter_loses_nothing(spark, words):
+    df = spark.createDataFrame([(encoding.garble("Wälder", ("utf-8", "cp1252")),), ("zzz",)], "token string")
+    whole = {tuple(r) for r in encoding.garbled_table(words).join(df, "token").collect()}
+    assert whole and whole == {tuple(r) for r in encoding.garbled_table(words, encoding.token_filter(df)).join(df, "token").collect()}
+
+
 def test_empty_tables(spark, words):
     none = spark.createDataFrame([], "field string, record_id bigint, text string")
     assert encoding.garbled_fields(none, words).count() == 0
