@@ -159,10 +159,15 @@ def consistent(text: str, host: str | None = None) -> tuple[str, bool, bool]:
             best = lambda can, own=own: max(sorted(can), key=lambda s: (s == around, own.count(s), s == "Latn"))
             for like in (LIKE, LOOSE):
                 can = {s for s in set.intersection(*(resolved(c, like) for c in w if script(c))) if _spell(w, s, like) is not None}
+                if like is LOOSE:
+                    can &= {"Latn"}
                 if can:
                     x = _spell(w, best(can), like)
                     break
-            else:  # no script has it all: the letters that have a look-alike in the script of most of it
+            else:
+                if scripts == {"Latn", "Grek"} and not any(_letter(c, "Latn", LIKE) for c in w if script(c) == "Grek"):
+                    continue  # a symbol
+                # no script has it all: the letters that have a look-alike in the script of most of it
                 most = max(sorted(scripts), key=lambda s: (own.count(s), s == around, s == "Latn"))
                 x = "".join(_letter(c, most, LIKE) or c for c in w)
         else:
