@@ -84,7 +84,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_survivors(spark: SparkSession, d: str) -> DataFrame:
-    return survivors.glossary_survivors(table(spark, d, "glossary"), _words(spark, d))
+    return survivors.surviving_entries(table(spark, d, "glossary"), _words(spark, d))
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:

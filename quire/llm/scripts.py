@@ -100,13 +100,13 @@ def _spell(token: str, to: str, like: dict[str, dict[str, str]] = LIKE) -> str |
     return None if None in out else "".join(out)
 
 
-def _certain(token: str, own: list[str]) -> str | None:
-    """The script of a token that can be nothing else."""
+def _certain(token: str, own: list[str], known: set[str]) -> str | None:
+    """The script of a token that can be of no other of the scripts that come into question."""
     scripts = set(own)
     if len(scripts) == 1 and "other" not in scripts:
         s = own[0]
         others = set.intersection(*(resolved(c) for c in token if script(c)))
-        return s if others == {s} else None
+        return s if others & known == {s} else None
     return None
 
 
@@ -136,14 +136,15 @@ def consistent(text: str, host: str | None = None) -> tuple[str, bool, bool]:
     if any(c in _LATIN for c in t):
         t, case = "".join(_LATIN.get(c, c) for c in t), True
     words = [(m.start(), m.group(), [s for s in map(script, m.group()) if s]) for m in _LETTERS.finditer(t)]
+    known = {"Latn", "Cyrl", "Grek"}.union(*(own for _, _, own in words))
     votes: dict[str, int] = {}
     for _, w, own in words:
-        if own and (s := _certain(w, own)):
+        if own and (s := _certain(w, own, known)):
             votes[s] = votes.get(s, 0) + len(w)
     if not votes:  # then what the mixed tokens can only be
         for _, w, own in words:
             if len(set(own)) > 1 and "other" not in own:
-                can = {s for s in set.intersection(*(resolved(c) for c in w if script(c))) if _spell(w, s) is not None}
+                can = {s for s in set.intersection(*(resolved(c) for c in w if script(c))) & known if _spell(w, s) is not None}
                 if len(can) == 1:
                     s = can.pop()
                     votes[s] = votes.get(s, 0) + len(w)

@@ -143,12 +143,12 @@ def test_votes_decide_and_html_wins(spark):
 # --- p6: survivors
 def test_survivors_against_brute_force(spark):
     rnd = random.Random(7)
-    trust = ["lexicon", "inline", "field", None]
     rows = []
     for i in range(400):
         at = dt.datetime(2024, 1, rnd.randrange(1, 6)) if rnd.random() > 0.2 else None
-        rows.append(("s", rnd.choice("abc"), i, at, rnd.choice([3, 2, 1, 0]), rnd.choice([None, " ", f"d{i}"]), rnd.choice([None, f"s{i}"]), f"t{i}", trust[0]))
-    df = spark.createDataFrame(rows, "source string, key string, id bigint, at timestamp, trust int, definition string, section string, term string, source_type string")
+        rows.append(("s", rnd.choice("abc"), i, at, rnd.choice([3, 2, 1, 0]), rnd.choice([None, " ", f"d{i}"]), rnd.choice([None, f"s{i}"])))
+    df = spark.createDataFrame(rows, "source string, key string, id bigint, at timestamp, trust int, definition string, section string")
+    df = df.withColumn("has_def", survivors.filled(F.col("definition"))).withColumn("has_sec", F.col("section").isNotNull())
     got = {(r.group_id, r.definition_from, r.section_from) for r in survivors.survivors(df).collect()}
     want = set()
     for k in "abc":
@@ -158,6 +158,15 @@ def test_survivors_against_brute_force(spark):
     assert got == want
 
 
+def test_surviving_entries(spark):
+    at = dt.datetime(2024, 1, 1)
+    rows = [(1, "s", "Omen", None, "a", "field", at), (2, "s", "omen:", "a sign", None, "inline", at), (3, "s", "OMEN", " ", None, "lexicon", None), (4, "s", "—", "d", None, None, at), (5, "s", ":", "e", None, None, at), (6, None, "Omen", "x", None, None, at), (7, "s", None, "x", None, None, at)]
+    g = spark.createDataFrame(rows, "glossary_id bigint, source_id string, term string, definition string, section_id string, source_type string, extracted_at timestamp").withColumn("key", F.lit(0))
+    words = encoding.corpus_words([g.select("term")])
+    assert [tuple(r) for r in survivors.surviving_entries(g, words).collect()] == [(1, "s", "OMEN", "lexicon", "a sign", 2, "a", 1)]
+    assert survivors.surviving_entries(g.limit(0), words).count() == 0
+
+
 def test_term_key(spark):
     rows = [(" Solitary-Manor Office.",), ("SOLITARY-MANOR  office —",), ("Fluß",), ("FLUSS:",), (None,)]
     got = [r[0] for r in spark.createDataFrame(rows, "t string").select(survivors.fold(F.col("t"))).collect()]
