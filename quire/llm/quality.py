@@ -1,6 +1,6 @@
 """Per-document text statistics and what a document mainly is: prose, list, table or junk.
 
-A text is cut in the JVM into chunks of ``CHUNK`` characters; nearly all documents are one chunk and pass without a
+A text is cut into chunks of ``CHUNK`` characters; nearly all documents are one chunk and pass without a
 shuffle. Each chunk yields a partial state: sums of what lies wholly inside it, and the features of the two line
 fragments at its edges. A chunk carries a few characters of what surrounds it (``LEFT``, ``RIGHT``), which settles
 words and blanks that straddle a cut. States form a monoid (``merge``): the right fragment of one chunk and the left
@@ -33,9 +33,10 @@ MAIN = 0.5
 
 SUMS = ["chars", "nonspace", "letters", "digits", "symbols", "words", "word_chars", "common", "repeats", "vowelless", "lines", "ended", "w_list", "w_table", "w_junk", "w_prose", "n_short", "w_short", "n_list", "n_table", "sentence_marks"]
 IX = {k: i for i, k in enumerate(SUMS)}
-#: A line or line fragment: counts that add up, the first PREFIX characters and the last character that is no blank.
-PREFIX = 80
-FRAG = ["chars", "nonspace", "letters", "digits", "words", "common", "pipes", "semis", "tabs", "commas", "gaps", "tags", "odd", "longest", "ones", "lead", "trail"]
+#: A line or line fragment: counts that add up, and both its ends. Marks of lists and headings and the number behind a
+#: running title are shorter than EDGE; all other rules are over counts, so no line is too long for them.
+EDGE = 40
+FRAG = ["chars", "nonspace", "letters", "digits", "words", "common", "pipes", "semis", "tabs", "commas", "gaps", "tags", "odd", "longest", "ones", "lead", "trail", "tokens", "loose", "cjk", "dashes", "rules", "indent"]
 FX = {k: i for i, k in enumerate(FRAG)}
 
 _WORD = re.compile(r"[^\W_]+")
@@ -46,10 +47,10 @@ _GAP = re.compile(r"(?<=   )\S")
 #: A tab between cells; one behind the end of a sentence or behind other blanks is an odd blank of prose.
 _TAB = re.compile(r"(?<=[^\s.!?…。！？])\t")
 _TAG = re.compile(r"</?t(?:able|r|d|h|head|body)\b", re.I)
-_BULLET = re.compile(r"\s*(?:[-*+•–—◦▪▫■●○◆◇►▸‣⁃·]|\(?\d{1,4}[.)]|\(?[a-zA-Z][.)]|\(?[ivxlcIVXLC]{1,6}[.)])\s+\S")
-_HEADING = re.compile(r"\s*#{1,6}\s+\S")
-_RUNNING = re.compile(r"\s*>>.*<<\s*\d*\s*$")
-_RULE = re.compile(r"^[\s\-=_~*.#^<>|/\\+]+$")
+_BULLET = re.compile(r"(?:[-*+•–—◦▪▫■●○◆◇►▸‣⁃·]|\(?\d{1,4}[.)]|\(?[a-zA-Z][.)]|\(?[ivxlcIVXLC]{1,6}[.)])\s")
+_HEADING = re.compile(r"#{1,6}\s")
+_RUNNING = re.compile(r"<<\s*\d{0,9}$")
+_RULES = frozenset("-=_~*.#^<>|/\\+")
 _END = ".!?…。！？:;»”\"'’)"
 _STOP = ".!?…。！？"
 _CJK = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
@@ -77,8 +78,13 @@ def _fragment(s: str, common: frozenset[str], before: str = "", after: str = "")
     f[14] = sum(n <= m.start() < stop and m.end() - m.start() <= 2 for m in re.finditer(r"\S+", text))
     f[15] = len(tokens[0]) if tokens and not s[0].isspace() else 0
     f[16] = len(tokens[-1]) if tokens and not s[-1].isspace() else 0
-    t = s.rstrip()
-    return f, s[:PREFIX], t[-1:] if t else ""
+    f[17] = len(tokens)
+    f[18] = sum(c == "," and text[n + i + 1 : n + i + 2] == " " for i, c in enumerate(s))
+    f[19] = len(_CJK.findall(s))
+    f[20], f[21] = s.count("-"), sum(map(_RULES.__contains__, s))
+    f[22] = len(s) - len(s.lstrip(" "))
+    line = " ".join(tokens)
+    return f, line[:EDGE], line[-EDGE:]
 
 
 def _join(a: tuple[list[int], str, str], b: tuple[list[int], str, str]) -> tuple[list[int], str, str]:
@@ -87,29 +93,33 @@ def _join(a: tuple[list[int], str, str], b: tuple[list[int], str, str]) -> tuple
     f[longest] = max(a[0][longest], b[0][longest], a[0][trail] + b[0][lead])
     f[lead] = a[0][lead] + (b[0][lead] if a[0][lead] == a[0][chars] else 0)
     f[trail] = b[0][trail] + (a[0][trail] if b[0][trail] == b[0][chars] else 0)
-    return f, (a[1] + b[1])[:PREFIX] if len(a[1]) < PREFIX else a[1], b[2] or a[2]
+    f[FX["tokens"]] -= bool(a[0][trail] and b[0][lead])
+    f[FX["indent"]] = a[0][FX["indent"]] + (b[0][FX["indent"]] if a[0][FX["indent"]] == a[0][chars] else 0)
+    if not a[1] or not b[1]:  # one of them is blank
+        return f, a[1] or b[1], a[2] or b[2]
+    sep = "" if a[0][trail] and b[0][lead] else " "
+    return f, (a[1] + sep + b[1])[:EDGE] if len(a[1]) < EDGE else a[1], (a[2] + sep + b[2])[-EDGE:] if len(b[2]) < EDGE else b[2]
 
 
 def line_class(frag: tuple[list[int], str, str]) -> str:
     """blank, heading, list, table, junk, short (an unmarked item, perhaps) or prose."""
-    f, prefix, last = frag
-    n, letters, words = f[1], f[2], f[4]
+    f, head, tail = frag
+    n, letters, words, last = f[1], f[2], f[4], tail[-1:]
     if not n:
         return "blank"
-    if _HEADING.match(prefix):
+    if _HEADING.match(head) and f[FX["tokens"]] > 1:
         return "heading"
-    if _RULE.match(prefix) and letters == 0 and f[3] == 0:
-        return "table" if "|" in prefix and "-" in prefix and f[FX["pipes"]] >= 2 else "junk"
-    if _RUNNING.match(prefix):
+    if f[FX["rules"]] == n:
+        return "table" if f[FX["dashes"]] and f[FX["pipes"]] >= 2 else "junk"
+    if head.startswith(">>") and _RUNNING.search(tail):
         return "junk"
-    head = prefix.lstrip()
     if f[FX["tags"]]:
         return "table"
     if f[FX["odd"]] - f[FX["pipes"]] > 0.3 * n or letters + f[3] < 0.4 * n and f[FX["odd"]] > 0.15 * n and f[FX["pipes"]] < 0.5 * f[FX["odd"]]:
         return "junk"
     if words >= 10 and f[FX["ones"]] > 0.8 * (words + f[FX["odd"]]) and f[FX["common"]] < 0.2 * words and f[FX["pipes"]] < 0.15 * n:
         return "junk"
-    if f[FX["longest"]] >= 32 and f[FX["longest"]] > 0.6 * n and not _CJK.search(prefix):
+    if f[FX["longest"]] >= 32 and f[FX["longest"]] > 0.6 * n and not f[FX["cjk"]]:
         return "junk"
     cells = max(f[FX["pipes"]] + (0 if head.startswith("|") else 1), 1)
     per_cell = n / cells
@@ -121,12 +131,12 @@ def line_class(frag: tuple[list[int], str, str]) -> str:
         return "table"
     if f[FX["semis"]] >= 1 and n / (f[FX["semis"]] + 1) <= 18 and last not in _STOP and words <= 4 * (f[FX["semis"]] + 1):
         return "table"
-    gaps = f[FX["gaps"]] - prefix.startswith("   ")
+    gaps = f[FX["gaps"]] - (f[FX["indent"]] >= 3)
     if gaps >= 1 and n / (gaps + 1) <= 20 and last not in _STOP and f[FX["common"]] <= 0.25 * words:
         return "table"
-    if f[FX["commas"]] >= 2 and n / (f[FX["commas"]] + 1) <= 14 and last not in _STOP and ", " not in prefix:
+    if f[FX["commas"]] >= 2 and n / (f[FX["commas"]] + 1) <= 14 and last not in _STOP and not f[FX["loose"]]:
         return "table"
-    if _BULLET.match(prefix):
+    if _BULLET.match(head) and f[FX["tokens"]] > 1:
         return "list"
     if n <= 48 and words <= 7 and last not in _STOP:
         return "short"
@@ -142,21 +152,21 @@ def _count_line(sums: list[int], frag: tuple[list[int], str, str]) -> None:
     if kind == "blank":
         return
     sums[IX["lines"]] += 1
-    sums[IX["ended"]] += frag[2] in _END
+    sums[IX["ended"]] += frag[2][-1:] in _END
     if kind in _WEIGHT:
         sums[IX[_WEIGHT[kind]]] += frag[0][1]
     if kind in _NUMBER:
         sums[IX[_NUMBER[kind]]] += 1
 
 
-_ALNUM, _DIGITS, _SPACE, _MARK, _CONSONANT, _ODDS, _BULLETS = (1 << i for i in range(7))
+_ALNUM, _DIGITS, _SPACE, _MARK, _CONSONANT, _ODDS, _BULLETS, _RULED = (1 << i for i in range(8))
 #: Characters above this are looked up one by one where a batch holds any.
 _TABLED = 0x30000
 
 
 def _class_of(c: str) -> int:
     out = _ALNUM * c.isalnum() | _DIGITS * bool(_DIGIT.match(c)) | _SPACE * c.isspace() | _MARK * (c in ".,;:!?。、")
-    return out | _CONSONANT * (c.lower() in "bcdfghjklmnpqrstvwxz") | _ODDS * bool(_ODD.match(c)) | _BULLETS * (c in "-+•–—◦▪▫■●○◆◇►▸‣⁃·(")
+    return out | _CONSONANT * (c.lower() in "bcdfghjklmnpqrstvwxz") | _ODDS * bool(_ODD.match(c)) | _BULLETS * (c in "-+•–—◦▪▫■●○◆◇►▸‣⁃·(") | _RULED * (c in _RULES)
 
 
 _TABLES: list[np.ndarray] = []
@@ -296,8 +306,9 @@ def _states(chunks: list[tuple[str, str, str]], common: frozenset[str], hashes:
     f = {
         "chars": ends - starts, "nonspace": per(tokens), "letters": per(alnum & ~digit), "digits": per(digit), "words": per(begins), "common": per(is_common), "pipes": per(is_pipe), "semis": per(is_semi),
         "tabs": per(is_tab), "commas": per(is_comma), "gaps": per(gap), "tags": per(cp == 60), "odd": per(odd), "longest": np.maximum.reduceat(t_len, starts), "ones": per(t_begin & (t_len <= 2)),
+        "tokens": per(t_begin), "loose": per(loose), "dashes": per(cp == 45), "rules": per(bit(_RULED)),
     }
-    n_tokens = per(t_begin)
+    n_tokens = f["tokens"]
     where = np.arange(total)
     last_ink = np.maximum.reduceat(np.where(tokens, where, -1), starts)
     first_ink = np.minimum.reduceat(np.where(tokens, where, total - 1), starts)
@@ -306,7 +317,7 @@ def _states(chunks: list[tuple[str, str, str]], common: frozenset[str], hashes:
     lead_end = cp[np.minimum(first_ink + np.maximum(lead, 1) - 1, total - 1)]
     plain = (
         filled & (n_tokens >= 8) & (f["longest"] < 32) & (f["nonspace"] > 2.4 * n_tokens) & (f["pipes"] + f["semis"] + f["tabs"] + f["gaps"] + f["odd"] == 0)
-        & ((cls[first_ink] & _BULLETS) == 0) & ~((lead <= 7) & ((lead_end == 46) | (lead_end == 41))) & ((f["commas"] < 2) | (per(loose) > 0))
+        & ((cls[first_ink] & _BULLETS) == 0) & ~((lead <= 7) & ((lead_end == 46) | (lead_end == 41))) & ((f["commas"] < 2) | (f["loose"] > 0))
     )
     chunk_of = np.searchsorted(first, starts, side="right") - 1
     stops = np.isin(cp[np.maximum(last_ink, 0)], [ord(c) for c in _END])
@@ -320,7 +331,10 @@ def _states(chunks: list[tuple[str, str, str]], common: frozenset[str], hashes:
         a, z = int(starts[r]), int(ends[r])
         if row[FX["tags"]]:
             row[FX["tags"]] = len(_TAG.findall(text[a:z]))
-        _count_line(out[chunk_of[r]], (row, text[a : min(z, a + PREFIX)], chr(cp[last_ink[r]])))
+        body = text[a:z]
+        line = " ".join(body.split())
+        row[FX["cjk"]], row[FX["indent"]] = len(_CJK.findall(body)), len(body) - len(body.lstrip(" "))
+        _count_line(out[chunk_of[r]], (row, line[:EDGE], line[-EDGE:]))
     states = []
     for k, (x, y, z) in enumerate(chunks):
         head = tail = None
@@ -392,19 +406,19 @@ def finish(state: dict) -> dict:
 
 STATS = "n_chars bigint, n_words bigint, mean_word_length double, symbol_ratio double, digit_ratio double, n_lines bigint, ended_share double, common_share double, shape string, w_list bigint, w_table bigint, w_junk bigint, w_prose bigint"
 _STATS = [x.split()[0] for x in STATS.split(", ")]
-_FRAG_T = pa.struct([("f", pa.list_(pa.int64())), ("prefix", pa.string()), ("last", pa.string())])
+_FRAG_T = pa.struct([("f", pa.list_(pa.int64())), ("head", pa.string()), ("tail", pa.string())])
 _STATE_T = pa.struct([("sums", pa.list_(pa.int64())), ("head", _FRAG_T), ("tail", _FRAG_T), ("first", pa.int64()), ("last", pa.int64())])
-_FRAG_S = "struct<f:array<bigint>,prefix:string,last:string>"
+_FRAG_S = "struct<f:array<bigint>,head:string,tail:string>"
 _STATE_S = f"struct<sums:array<bigint>,head:{_FRAG_S},tail:{_FRAG_S},first:bigint,last:bigint>"
 
 
 def _pack(s: dict) -> dict:
-    frag = lambda x: None if x is None else {"f": x[0], "prefix": x[1], "last": x[2]}
+    frag = lambda x: None if x is None else {"f": x[0], "head": x[1], "tail": x[2]}
     return {**s, "head": frag(s["head"]), "tail": frag(s["tail"])}
 
 
 def _unpack(s: dict) -> dict:
-    frag = lambda x: None if x is None else (x["f"], x["prefix"], x["last"])
+    frag = lambda x: None if x is None else (x["f"], x["head"], x["tail"])
     return {**s, "head": frag(s["head"]), "tail": frag(s["tail"])}
 
 
@@ -419,21 +433,45 @@ def _whole(batches: Iterator[pa.RecordBatch], common: frozenset[str]) -> Iterato
         yield pa.RecordBatch.from_arrays([b.column("key"), *_stats_arrays(rows)], names=["key", *_STATS])
 
 
+def _cut_up(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
+    """(row, key, i, before, body, after): the chunks of each text, in one pass over it."""
+    for b in batches:
+        for row, key, text in zip(b.column("row").to_pylist(), b.column("key"), b.column("text").to_pylist(), strict=True):
+            starts = range(0, max(len(text), 1), chunk)
+            for k in range(0, len(starts), FAN):
+                some = starts[k : k + FAN]
+                cols = [[text[max(0, a - LEFT) : a] for a in some], [text[a : a + chunk] for a in some], [text[a + chunk : a + chunk + RIGHT] for a in some]]
+                n = len(some)
+                yield pa.RecordBatch.from_arrays([pa.array([row] * n, pa.int64()), pa.array([key.as_py()] * n, key.type), pa.array(range(k, k + n), pa.int64()), *(pa.array(c, pa.string()) for c in cols)], names=["row", "key", "i", "before", "body", "after"])
+
+
 def _partial(batches: Iterator[pa.RecordBatch], common: frozenset[str]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         cols = [b.column(c).to_pylist() for c in ("before", "body", "after")]
         states = [_pack(s) for s in chunk_states(list(zip(*cols, strict=True)), common)]
-        yield pa.RecordBatch.from_arrays([b.column("key"), b.column("i"), pa.array(states, type=_STATE_T)], names=["key", "i", "state"])
+        yield pa.RecordBatch.from_arrays([b.column("row"), b.column("key"), b.column("i"), pa.array(states, type=_STATE_T)], names=["row", "key", "i", "state"])
 
 
-def _merge_group(t: pa.Table) -> pa.Table:
-    """One step of the tree: at most FAN neighbouring states of one document become one."""
-    t = t.sort_by("i")
-    state = None
-    for x in t.column("state").to_pylist():
-        x = _unpack(x)
-        state = x if state is None else merge(state, x)
-    return pa.Table.from_arrays([t.column("key")[:1].combine_chunks(), pa.array([t.column("i")[0].as_py() // FAN], type=pa.int64()), pa.array([_pack(state)], type=_STATE_T)], names=["key", "i", "state"])
+def _merge_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One step of the tree: at most FAN neighbouring states of one row, which follow each other, become one."""
+    open_: tuple | None = None
+    state: dict = {}
+    names = ["row", "key", "i", "state"]
+    kind = None
+    for b in batches:
+        kind, done = b.column("key").type, []
+        for row, key, i, x in zip(b.column("row").to_pylist(), b.column("key").to_pylist(), b.column("i").to_pylist(), b.column("state").to_pylist(), strict=True):
+            x, block = _unpack(x), (row, key, i // FAN)
+            if block == open_:
+                state = merge(state, x)
+            else:
+                if open_ is not None:
+                    done.append((*open_, _pack(state)))
+                open_, state = block, x
+        cols = list(zip(*done, strict=True)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), kind, pa.int64(), _STATE_T), strict=True)], names=names)
+    if open_ is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip((*open_, _pack(state)), (pa.int64(), kind, pa.int64(), _STATE_T), strict=True)], names=names)
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -453,26 +491,23 @@ def common_set(words: DataFrame) -> frozenset[str]:
 def text_statistics(df: DataFrame, key: str, text: str, common: Iterable[str], chunk: int = CHUNK) -> DataFrame:
     """(key, statistics, shape) for every row with a text; a null text gives no row, an empty one zeros and no shape.
 
-    Repeated keys each need their own row only if their text is one chunk; keys of longer texts must be unique.
+    Repeated and null keys each have their own row, whatever the length of their texts.
     """
     common = frozenset(common)
     kind = df.select(key).dtypes[0][1]
     src = df.select(df[key].alias("key"), df[text].alias("text")).where("text is not null")
     out = f"key {kind}, {STATS}"
     whole = src.where(F.length("text") <= chunk).mapInArrow(lambda b: _whole(b, common), out)
-    long = src.where(F.length("text") > chunk).select("key", "text", F.explode(F.expr(f"sequence(0L, cast((length(text) - 1) div {chunk} as bigint))")).alias("i"))
-    begin = f"cast(i * {chunk} as int)"
-    long = long.select(
-        "key", "i",
-        F.expr(f"case when i = 0 then '' else substring(text, {begin} - {LEFT - 1}, {LEFT}) end").alias("before"),
-        F.expr(f"substring(text, {begin} + 1, {chunk})").alias("body"),
-        F.expr(f"substring(text, {begin} + {chunk + 1}, {RIGHT})").alias("after"),
-    )
-    states = long.repartition("key", "i").mapInArrow(lambda b: _partial(b, common), f"key {kind}, i bigint, state {_STATE_S}")
+    # a row's number depends on its place in its file alone
+    long = src.where(F.length("text") > chunk).withColumn("row", F.monotonically_increasing_id())
+    pieces = long.mapInArrow(lambda b: _cut_up(b, chunk), f"row bigint, key {kind}, i bigint, before string, body string, after string")
+    tree = f"row bigint, key {kind}, i bigint, state {_STATE_S}"
+    states = pieces.repartition("row", "i").mapInArrow(lambda b: _partial(b, common), tree)
     levels, reach = 1, FAN
     while reach * chunk < 1 << 31:  # a string has at most 2**31 characters
         levels, reach = levels + 1, reach * FAN
     for _ in range(levels):
-        states = states.groupBy("key", F.expr(f"i div {FAN}").alias("block")).applyInArrow(_merge_group, f"key {kind}, i bigint, state {_STATE_S}")
+        block = F.expr(f"i div {FAN}")
+        states = states.repartition("row", block).sortWithinPartitions("row", "i").mapInArrow(_merge_sorted, tree)
     merged = states.mapInArrow(_finish, out)
     return whole.unionByName(merged).withColumnRenamed("key", key)

@@ -96,25 +96,37 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "item_id")
 
 
-def _statistics(spark: SparkSession, d: str) -> DataFrame:
-    return quality.text_statistics(table(spark, d, "documents"), "doc_id", "text", quality.common_set(table(spark, d, "common_words")))
+def _statistics(spark: SparkSession, d: str, chunk: int = quality.CHUNK) -> DataFrame:
+    return quality.text_statistics(table(spark, d, "documents"), "doc_id", "text", quality.common_set(table(spark, d, "common_words")), chunk)
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return _statistics(spark, d).where("shape is not null").select("doc_id", "shape")
 
 
+def _reported(s: DataFrame) -> DataFrame:
+    rounded = ("mean_word_length", "symbol_ratio", "digit_ratio", "ended_share", "common_share")
+    return s.select("doc_id", "n_chars", "n_words", "n_lines", *(F.round(c, 6).alias(c) for c in rounded))
+
+
 def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
-    s = _statistics(spark, d)
-    return s.select("doc_id", "n_chars", "n_words", F.round("mean_word_length", 6).alias("mean_word_length"), F.round("symbol_ratio", 6).alias("symbol_ratio"), F.round("common_share", 6).alias("common_share"))
+    return _reported(_statistics(spark, d))
+
+
+def p9_chunked(spark: SparkSession, d: str) -> DataFrame:
+    """The same statistics with every text cut into chunks of 512 characters and merged through the tree."""
+    return _reported(_statistics(spark, d, 512))
 
 
 P9_STATISTICS = r"""
 WITH c AS (SELECT list(DISTINCT lower(word)) AS common FROM common_words),
 d AS (SELECT doc_id, text, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w, regexp_replace(text, '[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{1C}-\x{1F}]+', '', 'g') AS ink
       FROM documents WHERE text IS NOT NULL),
-n AS (SELECT doc_id, text, w, length(ink) AS ink, list_sum(list_transform(w, lambda x: length(x))) AS chars FROM d)
-SELECT doc_id, length(text) AS n_chars, len(w) AS n_words,
+l AS (SELECT doc_id, text, w, ink, list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{1C}-\x{1F}]+$', '')), lambda x: x <> '') AS lines FROM d),
+n AS (SELECT doc_id, text, w, length(ink) AS ink, len(regexp_extract_all(ink, '\p{Nd}')) AS digits, len(lines) AS n_lines, len(list_filter(lines, lambda x: regexp_matches(x, '[.!?…。！？:;»”"’'')]$'))) AS ended, list_sum(list_transform(w, lambda x: length(x))) AS chars FROM l)
+SELECT doc_id, length(text) AS n_chars, len(w) AS n_words, n_lines,
+       CASE WHEN ink > 0 THEN round(digits / ink, 6) ELSE 0.0 END AS digit_ratio,
+       CASE WHEN n_lines > 0 THEN round(ended / n_lines, 6) ELSE 0.0 END AS ended_share,
        CASE WHEN len(w) > 0 THEN round(chars / len(w), 6) ELSE 0.0 END AS mean_word_length,
        CASE WHEN ink > 0 THEN round((ink - coalesce(chars, 0)) / ink, 6) ELSE 0.0 END AS symbol_ratio,
        CASE WHEN len(w) > 0 THEN round(len(list_filter(w, lambda x: list_contains(common, x))) / len(w), 6) ELSE 0.0 END AS common_share
@@ -123,6 +135,6 @@ FROM n, c
 
 QUERIES = {
     "p1_found": p1_found, "p1_forms": p1_forms, "p4_found": p4_found, "p4_restored": p4_restored, "p5_found": p5_found, "p5_clean": p5_clean, "p5_votes": p5_votes, "p6_found": p6_found, "p6_survivors": p6_survivors, "p7_ids": p7_ids,
-    "p8_found": p8_found, "p9_found": p9_found, "p9_statistics": p9_statistics,
+    "p8_found": p8_found, "p9_found": p9_found, "p9_statistics": p9_statistics, "p9_chunked": p9_chunked,
 }
-SQL = {"p9_statistics": P9_STATISTICS}
+SQL = {"p9_statistics": P9_STATISTICS, "p9_chunked": P9_STATISTICS}
