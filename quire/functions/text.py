@@ -89,7 +89,7 @@ def breaks_in_tables(text: Column) -> Column:
 
 
 def drop_anchors(text: Column) -> Column:
-    return rsub(text, r'<span id="page-[0-9]+-[0-9]+"></span>', "")
+    return rsub(text, r'<span\s+id="page-[0-9]+-[0-9]+"\s*>\s*</span>', "")
 
 
 def annotate_pages(text: Column) -> Column:
@@ -106,21 +106,38 @@ def page_number(label: Column) -> Column:
 
 
 def roman(n: Column) -> Column:
-    """Capital Roman numerals of 1 to 3,999."""
+    """Capital Roman numerals of 1 and more; thousands are as many M. Others give none."""
     digit = lambda names, div: F.element_at(F.array(*[F.lit(x) for x in names]), (F.floor(n / div) % 10 + 1).cast("int"))
     ones = ["", "I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX"]
     tens = ["", "X", "XX", "XXX", "XL", "L", "LX", "LXX", "LXXX", "XC"]
     hundreds = ["", "C", "CC", "CCC", "CD", "D", "DC", "DCC", "DCCC", "CM"]
-    return F.concat(F.repeat(F.lit("M"), F.floor(n / 1000).cast("int")), digit(hundreds, 100), digit(tens, 10), digit(ones, 1))
+    return F.when(n >= 1, F.concat(F.repeat(F.lit("M"), F.floor(n / 1000).cast("int")), digit(hundreds, 100), digit(tens, 10), digit(ones, 1)))
+
+
+def roman_value(label: Column) -> Column:
+    """The number of a Roman numeral in any case, by its letters alone: one before a larger one counts down. Else null."""
+    worth = F.create_map(*[F.lit(x) for kv in zip("IVXLCDM", (1, 5, 10, 50, 100, 500, 1000), strict=True) for x in kv])
+    v = F.transform(F.filter(F.split(F.upper(F.trim(label)), ""), lambda c: c != ""), lambda c: worth[c])
+    total = F.aggregate(F.sequence(F.lit(1), F.size(v)), F.lit(0), lambda acc, i: acc + F.when(F.get(v, i - 1) < F.coalesce(F.get(v, i), F.lit(0)), -F.get(v, i - 1)).otherwise(F.get(v, i - 1)))
+    return F.when(F.trim(label).rlike("^[IVXLCDMivxlcdm]+$"), total)
+
+
+def is_roman(label: Column) -> Column:
+    """Whether a page label is a Roman numeral of front matter: the first twenty, or one that ends in I, IV or IX."""
+    t = F.lower(F.trim(label))
+    first = [x.lower() for x in ("I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X", "XI", "XII", "XIII", "XIV", "XV", "XVI", "XVII", "XVIII", "XIX", "XX")]
+    return t.isin(*first) | t.rlike(r"^m{0,3}(cm|cd|d?c{0,3})(xc|xl|l?x{0,3})(ix|iv|v?i{1,3})$")
 
 
 def alpha(n: Column) -> Column:
-    """1 = a, 26 = z, 27 = aa; up to three letters."""
-    letter = lambda x: F.chr(F.lit(97) + x.cast("long"))
-    one = n - 1
-    two = F.floor(one / 26) - 1
-    three = F.floor(two / 26) - 1
-    return F.concat(F.when(two >= 26, letter(three % 26)).otherwise(""), F.when(one >= 26, letter(two % 26)).otherwise(""), letter(one % 26))
+    """1 = a, 26 = z, 27 = aa, and so on without end; less than 1 gives none."""
+    state = F.aggregate(
+        F.sequence(F.lit(1), F.lit(14)),  # 26 ** 14 is beyond any number of 64 bits
+        F.struct(F.lit("").alias("s"), n.cast("bigint").alias("k")),
+        lambda a, _: F.when(a["k"] > 0, F.struct(F.concat(F.chr(F.lit(97) + (a["k"] - 1) % 26), a["s"]).alias("s"), ((a["k"] - 1 - (a["k"] - 1) % 26) / 26).cast("bigint").alias("k"))).otherwise(a),
+        lambda a: a["s"],
+    )
+    return F.when(n >= 1, state)
 
 
 def page_label(prefix: Column, style: Column, n: Column) -> Column:
