@@ -61,9 +61,9 @@ def broken_words(text: Column) -> Column:
     """Words that recognition broke in two are joined: known endings behind a lower-case part, and known words.
 
     The match of a rule is consumed even where the joined word is refused; a part is at most eight letters, so the
-    letters before those are not looked at. Texts without a lower-case letter on both sides of a blank skip Python.
+    letters before those are not looked at. Texts without a lower-case letter on both sides of a blank are not sent to Python.
     """
-    return F.when(text.rlike(r"[a-z]\s+[a-z]"), _joined(text)).otherwise(text)
+    return F.coalesce(_joined(F.when(text.rlike(r"(?U)\p{Ll}\s+[a-z]"), text)), text)
 
 
 def unwrap_page_links(text: Column) -> Column:
@@ -87,14 +87,17 @@ def symbols(text: Column, known: Mapping[str, str] | None = None) -> Column:
 
     ``known`` are a book's signs; None takes the usual ones, an empty map none. Lengths are kept.
     """
+    def swapped(x: Column, c: str, sign: str) -> Column:
+        one = lambda y: F.replace(y, F.lit(c), F.lit(sign))
+        return F.when(x.rlike(r"\sto\s"), F.array_join(F.transform(F.split(x, r"\s+to\s+"), one), " to ")).otherwise(one(x))
+
     t = text
     for c, sign in (DINGBATS if known is None else known).items():
         q = re.escape(c)
-        for p in (rf"(?m)^(?:- )({q}+)(?=\s|$)", rf"\(({q}+)\)", rf"\(({q}+)\s+to\s+({q}+)\)"):
-            parts = F.regexp_extract_all(t, F.lit(p), F.lit(0))
-            swap = lambda x, c=c, sign=sign: F.when(F.contains(x, F.lit(" to ")), F.array_join(F.transform(F.split(x, r"\s+to\s+"), lambda y: F.replace(y, F.lit(c), F.lit(sign))), " to ")).otherwise(F.replace(x, F.lit(c), F.lit(sign)))
-            between = F.split(t, p, -1)
-            t = F.when(t.rlike(p), F.array_join(F.transform(F.arrays_zip(between.alias("a"), F.transform(parts, swap).alias("b")), lambda x: F.concat(x["a"], F.coalesce(x["b"], F.lit("")))), "")).otherwise(t)
+        for p in (rf"(?m)^(?:- ){q}+(?=\s|$)", rf"\({q}+\)", rf"\({q}+\s+to\s+{q}+\)"):
+            parts = F.transform(F.regexp_extract_all(t, F.lit(p), F.lit(0)), lambda x: swapped(x, c, sign))  # noqa: B023
+            both = F.arrays_zip(F.split(t, p, -1).alias("a"), parts.alias("b"))
+            t = F.when(t.rlike(p), F.array_join(F.transform(both, lambda x: F.concat(x["a"], F.coalesce(x["b"], F.lit("")))), "")).otherwise(t)
     return t
 
 

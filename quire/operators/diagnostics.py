@@ -50,12 +50,3 @@ def running_lines(spans: DataFrame, min_length: int = 5, max_clusters: int = 3)
     """Texts that come again at few heights of a page: (source_id, text, n, n_clusters)."""
     g = spans.where(F.length("text") >= min_length).groupBy("source_id", "text").agg(F.count(F.lit(1)).alias("n"), F.collect_set("y").alias("ys"))
     return g.where("n >= 2").withColumn("n_clusters", clusters("ys")).where(F.col("n_clusters") <= max_clusters).drop("ys")
-
-
-def reading_order(blocks: DataFrame) -> DataFrame:
-    """Adds ``pos``: two columns, left before right, where a page has three blocks or more on the right."""
-    page = Window.partitionBy("source_id", "page")
-    left = F.col("x") < 0.45 * F.col("width")
-    b = blocks.withColumn("n_right", F.count_if(~left).over(page)).withColumn("n_left", F.count_if(left).over(page))
-    col = F.when((F.col("n_right") >= 3) & (F.col("n_left") > 0) & ~left, 1).otherwise(0)
-    return b.withColumn("pos", F.row_number().over(page.orderBy(col, "y", "x", "block"))).drop("n_right", "n_left")

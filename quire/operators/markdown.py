@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import rsub, strip_affixes, title_key
+from quire.functions.text import rsub, title_key
 
 # Labels of structured fields, which are no glossary terms.
 FIELD_LABELS = (
@@ -67,7 +67,7 @@ def is_term(term: Column, definition: Column) -> Column:
     """Whether a bold term with a definition is a glossary entry."""
     bare = F.trim(rsub(term, r":+$", ""))
     return (
-        (F.length(term) >= 2) & ~term.rlike(r"^[0-9\s.,;:!?—–/()\\-]+$") & ~term.rlike(r"\((see )?p\.\s*[0-9]+\)|#page-[0-9]+|^\[\(|^\(p\.|^\(see")
+        (F.length(term) >= 2) & ~term.rlike(r"^[0-9\s.,;:!?—–/()-]+$") & ~term.rlike(r"\((see )?p\.\s*[0-9]+\)|#page-[0-9]+|^\[\(|^\(p\.|^\(see")
         & ~bare.isin(*NO_TERMS) & ~bare.isin(*FIELD_LABELS) & (F.length(F.trim(definition)) >= MIN_DEFINITION)
     )
 
@@ -79,26 +79,6 @@ def first_entries(glossary: DataFrame) -> DataFrame:
     return g
 
 
-def see_also(terms: DataFrame, definitions: DataFrame) -> DataFrame:
-    """(source_id, glossary_id, term_key) of terms of the book that a definition names.
-
-    A term is looked up by its first word, an equi join of words on both sides; the whole term is then compared.
-    """
-    norm = lambda c: F.trim(rsub(F.lower(c), r"[^a-z0-9]+", " "))
-    t = terms.select("source_id", norm(F.col("term")).alias("term_key")).where(F.length("term_key") > 2).distinct().withColumn("word", F.substring_index("term_key", " ", 1))
-    d = definitions.select("source_id", "glossary_id", norm(F.col("term")).alias("own"), norm(F.col("definition")).alias("text")).where("text != ''")
-    words = d.select("source_id", "glossary_id", "own", "text", F.explode(F.array_distinct(F.split("text", " "))).alias("word"))
-    hit = words.join(t, ["source_id", "word"]).where("term_key != own").where(F.contains(F.concat(F.lit(" "), "text", F.lit(" ")), F.concat(F.lit(" "), "term_key", F.lit(" "))))
-    return hit.select("source_id", "glossary_id", "term_key").distinct()
-
-
-def title_overlap(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Jaccard similarity of the words of two titles that share a row: columns ``a`` and ``b`` to ``score``."""
-    words = lambda c: F.array_distinct(F.split(strip_affixes(title_key(F.col(c))), " "))
-    j = left.join(right, ["source_id", "page"])
-    return j.withColumn("score", F.size(F.array_intersect(words("a"), words("b"))) / F.size(F.array_union(words("a"), words("b"))))
-
-
 def match_headings(heads: DataFrame, sections: DataFrame) -> DataFrame:
     """(source_id, section_id, doc_id, line): the first heading of the book whose normalised title is the section's.
 
@@ -112,15 +92,54 @@ def match_headings(heads: DataFrame, sections: DataFrame) -> DataFrame:
 
 
 def drop_title_heading(text: Column, title: Column) -> Column:
-    """A first heading that repeats the section's title is dropped with the empty lines behind it.
+    """Headings that repeat the section's title are dropped with the empty lines behind them; the text is stripped.
+
+    One repeats it if, without Markdown signs and case, it begins with the title or the title with it, or, from four
+    characters on, one holds the other. A text of nothing else stays as it is.
+    """
+    clean = lambda c, signs: rsub(F.lower(rsub(c, signs, "")), r"^\s+|\s+\z", "")
+    key = clean(title, r"[*_`\[\]()#]")
+
+    def again(line: Column) -> Column:
+        head = clean(F.regexp_extract(line, r"^#{1,6}\s+(.+)$", 1), r"[*_`\[\]()]")
+        part = (F.length(key) >= 4) & (F.length(head) >= 4) & (F.contains(head, key) | F.contains(key, head))
+        return line.rlike(r"^#{1,6}\s+.") & (F.startswith(head, key) | F.startswith(key, head) | part)
+
+    marked = F.array_join(F.transform(F.split(text, "\n"), lambda x: F.when(again(x), F.lit("\x01")).otherwise(x)), "\n")
+    rest = rsub(rsub(marked, r"(?m)^\x01$\n?(?:[^\S\n]*\n)*", ""), r"^\s+|\s+\z", "")
+    return F.when(key.isNull() | (rest == ""), text).otherwise(rest)
+
+
+def field_values(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, n, label, value) of ``**Label:** value`` with a known label, up to the line's end or the next bold."""
+    p = r"\*\*([^*]{2,40}):\*\*\s*(?=([^\n]*?)(?=\*\*|\n|\z))"
+    both = F.arrays_zip(F.regexp_extract_all(text, F.lit(p), F.lit(1)).alias("label"), F.regexp_extract_all(text, F.lit(p), F.lit(2)).alias("value"))
+    x = df.where(F.contains(text, F.lit(":**"))).select(key, F.posexplode(both).alias("n", "x"))
+    return x.select(key, "n", F.trim("x.label").alias("label"), rsub(F.col("x.value"), r"^\s+|\s+\z", "").alias("value")).where(F.col("label").isin(*FIELD_LABELS) & (F.col("value") != ""))
+
+
+def is_lexicon(section_id: Column, text: Column) -> Column:
+    """Whether a section is a glossary: by its id, its first heading, or five entries with a dash in bold."""
+    sid = F.coalesce(F.lower(section_id), F.lit(""))
+    return F.contains(sid, F.lit("lexicon")) | F.contains(sid, F.lit("glossary")) | F.lower(F.left(text, F.lit(200))).rlike(r"^#+\s*(lexicon|glossary)\b") | (F.regexp_count(text, F.lit(r"\*\*[^*]+\s*[—–]+\s*\*\*")) >= 5)
+
+
+def extract_glossary(df: DataFrame) -> DataFrame:
+    """(source_id, term, definition, section_id, source_type): one entry a book and term, in any case.
 
-    It repeats it if, normalised, one of the two begins with the other. A text of nothing else stays as it is.
+    ``df``: source_id, doc, section_id, text. The last entry with a dash in bold of a glossary section; else the first
+    of the others, by document, then dash in bold, colon, dash behind, then place.
     """
-    head = title_key(F.regexp_extract(text, r"^\s*#{1,6}[ \t]+([^\n]*)", 1))
-    key = title_key(title)
-    again = (head != "") & (key != "") & (F.startswith(head, key) | F.startswith(key, head))
-    rest = rsub(text, r"^\s*#{1,6}[ \t]+[^\n]*\n*", "")
-    return F.when(again & (F.trim(rest) != ""), rest).otherwise(text)
+    d = df.where("text is not null").withColumn("lexicon", is_lexicon(F.col("section_id"), F.col("text")))
+    x = definitions(d, "doc", "text").join(d.select("doc", "source_id", "section_id", "lexicon"), "doc")
+    bare = F.trim(rsub(F.col("term"), r":+$", ""))
+    x = x.where(is_term(F.col("term"), F.col("definition"))).where((F.col("pattern") == "a") | ~bare.isin(*FIELD_LABELS))
+    strong = F.col("lexicon") & (F.col("pattern") == "a")
+    step = F.when(F.col("pattern") == "a", 0).when(F.col("pattern") == "c", 1).otherwise(2)
+    place = F.struct(F.when(strong, F.col("doc")).otherwise(-F.col("doc")).alias("d"), (-step).alias("p"), F.when(strong, F.col("n")).otherwise(-F.col("n")).alias("n"))
+    entry = F.struct("term", "definition", "section_id", F.when(strong, "lexicon").otherwise("inline").alias("source_type"))
+    best = x.groupBy("source_id", F.lower("term").alias("key")).agg(F.max_by(entry, F.struct(strong.alias("s"), place.alias("at"))).alias("e"))
+    return best.select("source_id", "e.*")
 
 
 def clean_page_text(text: Column) -> Column:

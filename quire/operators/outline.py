@@ -10,7 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_LEVEL = 6
+from quire.functions.text import page_number
+
+#: No outline is deeper; a level beyond it is refused rather than cut.
+MOST_LEVELS = 64
+
+
+def levels_of(toc: DataFrame) -> int:
+    """The deepest level of an outline, from the data."""
+    deepest = toc.agg(F.max("level")).first()[0] or 1
+    if deepest > MOST_LEVELS:
+        raise ValueError(f"an outline of level {deepest}; at most {MOST_LEVELS} are read")
+    return max(2, deepest)
 
 
 def one_delivery(toc: DataFrame) -> DataFrame:
@@ -18,8 +29,9 @@ def one_delivery(toc: DataFrame) -> DataFrame:
     return toc.groupBy("source_id", "ord").agg(F.min_by(F.struct("entry_id", "level", "title", "pdf_page"), "entry_id").alias("e")).select("source_id", "ord", "e.*")
 
 
-def section_tree(toc: DataFrame, slug: str = "slug", max_level: int = MAX_LEVEL) -> DataFrame:
-    """Adds depth, parent_id, section_id and is_root to an outline (source_id, ord, level, slug, ...)."""
+def section_tree(toc: DataFrame, slug: str = "slug", max_level: int | None = None) -> DataFrame:
+    """Adds depth, parent_id, section_id and is_root to an outline (source_id, ord, level, slug, ...) of any depth."""
+    max_level = max_level or levels_of(toc)
     book = Window.partitionBy("source_id").orderBy("ord")
     upto, before = book.rowsBetween(Window.unboundedPreceding, Window.currentRow), book.rowsBetween(Window.unboundedPreceding, -1)
     t = toc.withColumn("n", F.row_number().over(book))
@@ -41,11 +53,12 @@ def section_tree(toc: DataFrame, slug: str = "slug", max_level: int = MAX_LEVEL)
     return out.drop("n", "up", *[f"{x}{k}" for x in "sjp" for k in range(1, max_level)])
 
 
-def page_ranges(toc: DataFrame, max_level: int = MAX_LEVEL) -> DataFrame:
+def page_ranges(toc: DataFrame, max_level: int | None = None) -> DataFrame:
     """Adds page_end: the page before the next entry that is no deeper, at least the own page; else the last page.
 
     ``page_count`` is a column of the outline.
     """
+    max_level = max_level or levels_of(toc)
     # the following rows read backwards: a running frame, which needs no look-ahead for each row
     back = Window.partitionBy("source_id").orderBy(F.col("ord").desc()).rowsBetween(Window.unboundedPreceding, -1)
     nxt = F.lit(None).cast("int")
@@ -63,10 +76,11 @@ def clip_to_children(sections: DataFrame) -> DataFrame:
 
 
 def overlapping_siblings(sections: DataFrame) -> DataFrame:
-    """Sections that begin on or before the last page of the sibling before them."""
-    w = Window.partitionBy("source_id", "parent_id").orderBy("pdf_page_start", "ord", "section_row")
-    s = sections.where("pdf_page_start is not null and pdf_page_end is not null").withColumn("before_end", F.lag("pdf_page_end").over(w))
-    return s.where("pdf_page_start <= before_end")
+    """Sections that begin on the page on which the sibling before or behind them in the outline begins."""
+    w = Window.partitionBy("source_id", "parent_id").orderBy("ord", "section_row")
+    start = F.col("pdf_page_start")
+    s = sections.withColumn("before", F.lag(start).over(w)).withColumn("behind", F.lead(start).over(w))
+    return s.where((start == F.col("before")) | (start == F.col("behind"))).drop("before", "behind")
 
 
 def page_filter(sections: DataFrame, lo: int, hi: int) -> DataFrame:
@@ -89,15 +103,29 @@ def note_paths(tree: DataFrame, root: str = "books") -> DataFrame:
 
 
 def resolve_pages(refs: DataFrame, sections: DataFrame) -> DataFrame:
-    """(source_id, page, section_id): the section that holds a page, a leaf before others, then outline order.
+    """(source_id, page, section_id, tier): the section that holds a page, a leaf before others, then outline order.
 
-    An interval join as an equi join: each section is laid out over its pages, whose number a book's length bounds.
+    The printed pages of a section come first (those of the file where it has none), then those of the file, then the
+    same of other books, by their id. An interval join as an equi join: each section is laid out over its pages, whose
+    number a book's length bounds.
     """
     parents = sections.where("parent_id is not null").select("source_id", F.col("parent_id").alias("section_id")).distinct().withColumn("inner", F.lit(1))
-    s = sections.where("pdf_page_start <= pdf_page_end").join(parents, ["source_id", "section_id"], "left")
-    pages = s.select("source_id", F.explode(F.sequence("pdf_page_start", "pdf_page_end")).alias("page"), F.struct(F.coalesce("inner", F.lit(0)).alias("inner"), "ord", "section_row", "section_id").alias("s"))
-    best = pages.groupBy("source_id", "page").agg(F.min("s").alias("s"))  # combines before the shuffle
-    return refs.join(best, ["source_id", "page"], "left").select("source_id", "page", F.col("s.section_id").alias("section_id"))
+    s = sections.join(parents, ["source_id", "section_id"], "left")
+    printed = F.col("printed_page_start").isNotNull()
+    first = F.when(printed, page_number(F.col("printed_page_start"))).otherwise(F.col("pdf_page_start"))
+    last = F.when(printed, page_number(F.coalesce("printed_page_end", "printed_page_start"))).otherwise(F.col("pdf_page_end"))
+    best = None
+    for tier, a, z in (("printed", first, last), ("file", F.col("pdf_page_start"), F.col("pdf_page_end"))):
+        laid = s.withColumn("a", a).withColumn("z", z).where("a <= z")
+        pages = laid.select("source_id", F.explode(F.sequence("a", "z")).alias("page"), F.struct(F.coalesce("inner", F.lit(0)).alias("inner"), "ord", "section_row", "section_id").alias("s"))
+        part = pages.groupBy("source_id", "page").agg(F.min("s").alias("s"))  # combines before the shuffle
+        part = part.select("source_id", "page", F.lit(0 if tier == "printed" else 1).alias("rank"), F.lit(tier).alias("tier"), F.col("s.section_id").alias("section_id"))
+        best = part if best is None else best.unionByName(part)
+    own = best.groupBy("source_id", "page").agg(F.min(F.struct("rank", "tier", "section_id")).alias("x"))
+    # the first other book that has the page is the first book that has it, since the own one has not
+    other = own.groupBy("page").agg(F.min(F.struct("source_id", "x.section_id")).alias("y"))
+    j = refs.join(own, ["source_id", "page"], "left").join(other, "page", "left")
+    return j.select("source_id", "page", F.coalesce("x.section_id", "y.section_id").alias("section_id"), F.coalesce("x.tier", F.when(F.col("y").isNotNull(), "other")).alias("tier"))
 
 
 def unwrap_single_root(tree: DataFrame) -> DataFrame:

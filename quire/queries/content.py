@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.functions import paths, text
-from quire.operators import catalog, diagnostics, markdown, tables
+from quire.functions import paths, repair, text
+from quire.operators import catalog, diagnostics, links, markdown, splitting, tables
 from quire.session import table
 
 
@@ -121,7 +121,7 @@ def glossary_dedupe(spark, d):
 
 def glossary_letters(spark, d):
     g = table(spark, d, "glossary").where(F.length("term") > 0).groupBy("source_id").agg(F.array_join(F.sort_array(F.collect_set(F.upper(F.substring(F.ltrim("term"), 1, 1)))), ",").alias("letters"))
-    return g.select("source_id", F.length("letters").alias("n"))
+    return g
 
 
 def glossary_sections(spark, d):
@@ -130,14 +130,100 @@ def glossary_sections(spark, d):
 
 
 def see_also_terms(spark, d):
-    g = table(spark, d, "glossary")
-    return markdown.see_also(g, g.where("definition is not null"))
+    g = table(spark, d, "glossary").where("term is not null")
+    return links.see_also(g, g.where("definition is not null"))
+
+
+def entity_links(spark, d):
+    """Definitions with links to the terms of their book."""
+    g = table(spark, d, "glossary").where("definition is not null")
+    texts = g.select("source_id", F.col("glossary_id").alias("key"), F.concat(F.lit("books/"), "source_id", F.lit("/terms/"), F.col("glossary_id").cast("string"), F.lit(".md")).alias("path"), F.col("definition").alias("text"))
+    return links.link_terms(texts, table(spark, d, "glossary").where("term is not null")).withColumnRenamed("key", "glossary_id")
 
 
 def heading_jaccard(spark, d):
-    a = table(spark, d, "sections").where("level = 1 and pdf_page_start is not null").groupBy("source_id", F.col("pdf_page_start").alias("page")).agg(F.min_by("title", "section_row").alias("a"))
-    b = table(spark, d, "toc_entries").where("level = 1 and pdf_page is not null").groupBy("source_id", F.col("pdf_page").alias("page")).agg(F.min_by("title", "entry_id").alias("b"))
-    return markdown.title_overlap(a, b).select("source_id", "page", F.round("score", 6).alias("score"))
+    """Section titles and bookmark titles of one book that share at least half their words, but are not the same."""
+    key = lambda t: table(spark, d, t).where("title is not null").select("source_id", text.title_key(F.col("title")).alias("key"))
+    return splitting.similar_titles(key("sections"), key("toc_entries"), 0.5).where("a != b").withColumn("score", F.round("score", 6))
+
+
+def section_split(spark, d):
+    """Every section's text out of the whole Markdown of its book: by heading, else by page anchors."""
+    s = table(spark, d, "sections").groupBy("source_id", "section_id").agg(F.min_by(F.struct("ord", "title", F.col("pdf_page_start").alias("page"), F.col("pdf_page_end").alias("page_end")), "section_row").alias("s")).select("source_id", "section_id", "s.*")
+    docs = _docs(spark, d).select(F.col("source").alias("source_id"), F.col("doc_id").alias("doc"), "text")
+    return splitting.split_by_headings(docs, s).select("source_id", "section_id", "tier", "h", F.md5("text").alias("text"))
+
+
+def merge_same_headings(spark, d):
+    docs = _docs(spark, d).select(F.col("source").alias("source_id"), F.col("doc_id").alias("doc"), "text")
+    return splitting.headings(splitting.lines(docs)).select("source_id", "h", F.col("doc").alias("doc_id"), "line", "level", "key")
+
+
+def repair_text(spark, d):
+    return _docs(spark, d).select("doc_id", F.md5(repair.repair(F.col("text"))).alias("h"))
+
+
+def anchor_strip(spark, d):
+    return _docs(spark, d).select("doc_id", F.md5(repair.clean_anchors(F.col("text"))).alias("h"))
+
+
+def glossary_extract(spark, d):
+    docs = _docs(spark, d).select(F.col("source").alias("source_id"), F.col("doc_id").alias("doc"), "section_id", "text")
+    return markdown.extract_glossary(docs)
+
+
+def structured_fields(spark, d):
+    return markdown.field_values(_docs(spark, d), "doc_id", "text")
+
+
+def lexicon_sections(spark, d):
+    return _docs(spark, d).where("text is not null").where(markdown.is_lexicon(F.col("section_id"), F.col("text"))).select("doc_id")
+
+
+def list_sources(spark, d):
+    return table(spark, d, "pdf_sources").select("source_id", "path", "sha256", "page_count").orderBy("source_id")
+
+
+def book_last_page(spark, d):
+    s = table(spark, d, "sections").groupBy("source_id").agg(F.max("pdf_page_end").alias("page"))
+    return table(spark, d, "pdf_sources").select("source_id").join(s, "source_id", "left").select("source_id", F.coalesce("page", F.lit(0)).alias("page"))
+
+
+def glossary_letter_breaks(spark, d):
+    """The entries of each book by term, and where a new letter begins."""
+    w = Window.partitionBy("source_id").orderBy(F.lower("term"), "glossary_id")
+    g = table(spark, d, "glossary").where(F.length(F.trim("term")) > 0).withColumn("letter", F.upper(F.left(F.trim("term"), F.lit(1))))
+    return g.select("glossary_id", "letter", (~F.lag("letter").over(w).eqNullSafe(F.col("letter"))).alias("new_letter"))
+
+
+def toc_dedupe(spark, d):
+    """Bookmarks without those that repeat level and title of the one before."""
+    w = Window.partitionBy("source_id").orderBy("ord", "entry_id")
+    same = F.lag("level").over(w).eqNullSafe(F.col("level")) & F.lag("title").over(w).eqNullSafe(F.col("title"))
+    return table(spark, d, "toc_entries").withColumn("same", same).where("not same").select("entry_id")
+
+
+def toc_level_sets(spark, d):
+    """The levels of each book's outline, and whether it lacks the upper ones and would be promoted."""
+    t = table(spark, d, "toc_entries").groupBy("source_id").agg(F.sort_array(F.collect_set("level")).alias("l"))
+    return t.select("source_id", F.array_join(F.transform("l", lambda x: x.cast("string")), ",").alias("levels"), (F.array_min("l") > 1).alias("promote"))
+
+
+def roman_to_int(spark, d):
+    p = table(spark, d, "pdf_sources").select("source_id", F.explode(F.sequence(F.lit(1), F.col("page_count"))).alias("n"))
+    r = p.withColumn("label", F.lower(text.roman(F.col("n"))))
+    return r.select("source_id", "label", text.roman_value(F.col("label")).alias("value"), text.is_roman(F.col("label")).alias("front"))
+
+
+def empty_columns(spark, d):
+    """Columns of tables of which no cell has more than two characters."""
+    c = tables.table_cells(_tables(spark, d), "table_id")
+    return c.groupBy("table_id", "col").agg(F.bool_and(F.length(F.trim("value")) <= 2).alias("empty")).where("empty").select("table_id", "col")
+
+
+def expected_files(spark, d):
+    s = table(spark, d, "sections").select(F.col("markdown_output_path").alias("path")).where("path is not null")
+    return s.union(table(spark, d, "notes").where("kind != 'section'").select("path")).distinct()
 
 
 def _spans(spark, d):
@@ -157,7 +243,7 @@ def body_font_mode(spark, d):
 
 
 def header_footer_lines(spark, d):
-    return diagnostics.running_lines(_spans(spark, d), max_clusters=1000)
+    return diagnostics.running_lines(_spans(spark, d))
 
 
 def suspicious_chars(spark, d):
@@ -238,7 +324,7 @@ b AS (SELECT table_id, source_id, section_id, list_transform(named, lambda q, i:
              list_filter(rest[1:stop_ - 1], lambda y: NOT (contains(y, '-') AND regexp_matches(y, '{_SEP}'))) AS body FROM c),
 t AS (SELECT * FROM b WHERE len(body) > 0)
 """
-_NORM = "trim(regexp_replace(lower({c}), '[^a-z0-9]+', ' ', 'g'))"
+_NORM = r"trim(regexp_replace(lower({c}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
 _STATUS = "s AS (SELECT user_id, event_type AS step, max_by(CASE WHEN value > 100 THEN 'completed' ELSE 'failed' END, (ts, event_id)) AS status, max_by(event_id, (ts, event_id)) AS event_id FROM events GROUP BY ALL)"
 _SPANS = "v AS (SELECT event_id AS span_id, day(ts) AS page, event_type AS font, round(value / 50) AS size, event_id % 32 AS flags, props AS text, CAST(user_id % 700 AS DOUBLE) AS y FROM events)"
 SQL = {
@@ -257,9 +343,27 @@ SQL = {
     "pipe_table_filter": _PARSE + "SELECT table_id FROM t WHERE len(body) >= 4 AND len(headers) >= 3",
     "table_summary": _PARSE + "SELECT source_id, count(*) AS n_tables, count(DISTINCT section_id) AS n_sections, CAST(sum(len(body)) AS BIGINT) AS n_rows FROM t GROUP BY ALL",
     "glossary_dedupe": "SELECT source_id, lower(term) AS key, max_by(glossary_id, CASE WHEN source_type = 'lexicon' THEN 1e12 + glossary_id ELSE -glossary_id END) AS glossary_id, count(*) AS n FROM glossary GROUP BY ALL",
-    "glossary_letters": "WITH g AS (SELECT source_id, list(DISTINCT upper(left(ltrim(term), 1))) AS l FROM glossary WHERE length(term) > 0 GROUP BY ALL) SELECT source_id, CAST(length(array_to_string(l, ',')) AS INTEGER) AS n FROM g",
+    "glossary_letters": "WITH g AS (SELECT source_id, list_sort(list(DISTINCT upper(left(ltrim(term), 1)))) AS l FROM glossary WHERE length(term) > 0 GROUP BY ALL) SELECT source_id, array_to_string(l, ',') AS letters FROM g",
     "glossary_sections": "WITH s AS (SELECT source_id, section_id, min_by(title, section_row) AS section_title FROM sections GROUP BY ALL) SELECT glossary_id, section_title FROM glossary g LEFT JOIN s ON s.source_id = g.source_id AND s.section_id = g.section_id",
-    "see_also_terms": f"WITH t AS (SELECT DISTINCT source_id, {_NORM.format(c='term')} AS term_key FROM glossary), d AS (SELECT source_id, glossary_id, {_NORM.format(c='term')} AS own, {_NORM.format(c='definition')} AS text FROM glossary WHERE definition IS NOT NULL) SELECT DISTINCT d.source_id, glossary_id, term_key FROM d JOIN t ON t.source_id = d.source_id AND length(term_key) > 2 AND term_key <> own AND contains(' ' || text || ' ', ' ' || term_key || ' ')",
+    "see_also_terms": f"""WITH t AS (SELECT DISTINCT source_id, lower(term) AS term, {_NORM.format(c='term')} AS plain FROM glossary WHERE length(term) > 2),
+        d AS (SELECT source_id, glossary_id, lower(term) AS own, ' ' || {_NORM.format(c='definition')} || ' ' AS text FROM glossary WHERE definition IS NOT NULL AND term IS NOT NULL),
+        h AS (SELECT d.source_id, glossary_id, t.term FROM d JOIN t ON t.source_id = d.source_id AND plain <> '' AND t.term <> own AND contains(text, ' ' || plain || ' ')),
+        f AS (SELECT *, row_number() OVER (PARTITION BY source_id, glossary_id ORDER BY length(term) DESC, term) - 1 AS pos FROM h WHERE NOT EXISTS (SELECT 1 FROM h y WHERE y.source_id = h.source_id AND y.glossary_id = h.glossary_id AND y.term <> h.term AND contains(y.term, h.term)))
+        SELECT source_id, glossary_id, term, CAST(pos AS INTEGER) AS pos FROM f WHERE pos < 8""",
+    "list_sources": "SELECT source_id, path, sha256, page_count FROM pdf_sources",
+    "book_last_page": "SELECT p.source_id, coalesce(max(pdf_page_end), 0) AS page FROM pdf_sources p LEFT JOIN sections s ON s.source_id = p.source_id GROUP BY ALL",
+    "glossary_letter_breaks": "WITH g AS (SELECT *, upper(left(trim(term), 1)) AS letter FROM glossary WHERE length(trim(term)) > 0) SELECT glossary_id, letter, lag(letter) OVER (PARTITION BY source_id ORDER BY lower(term), glossary_id) IS DISTINCT FROM letter AS new_letter FROM g",
+    "toc_dedupe": "WITH t AS (SELECT *, lag(entry_id) OVER w IS NOT NULL AND lag(level) OVER w IS NOT DISTINCT FROM level AND lag(title) OVER w IS NOT DISTINCT FROM title AS same FROM toc_entries WINDOW w AS (PARTITION BY source_id ORDER BY ord, entry_id)) SELECT entry_id FROM t WHERE NOT same",
+    "toc_level_sets": "SELECT source_id, array_to_string(list_sort(list(DISTINCT level)), ',') AS levels, min(level) > 1 AS promote FROM toc_entries GROUP BY ALL",
+    "roman_to_int": "WITH p AS (SELECT source_id, unnest(generate_series(1, page_count)) AS n FROM pdf_sources) SELECT source_id, " + "lower(repeat('M', n // 1000) || ['','C','CC','CCC','CD','D','DC','DCC','DCCC','CM'][n // 100 % 10 + 1] || ['','X','XX','XXX','XL','L','LX','LXX','LXXX','XC'][n // 10 % 10 + 1] || ['','I','II','III','IV','V','VI','VII','VIII','IX'][n % 10 + 1]) AS label, CAST(n AS INTEGER) AS value, n <= 20 OR n % 10 NOT IN (0, 5) AS front FROM p",
+    "empty_columns": _PARSE + f", r AS (SELECT table_id, headers, unnest(body) AS line FROM t), k AS (SELECT table_id, headers, {_CELLS.format(x='line')} AS v FROM r), u AS (SELECT table_id, v, generate_subscripts(headers, 1) AS col FROM k) SELECT table_id, CAST(col - 1 AS INTEGER) AS col FROM u GROUP BY ALL HAVING bool_and(length(coalesce(v[col], '')) <= 2)",
+    "expected_files": "SELECT markdown_output_path AS path FROM sections WHERE markdown_output_path IS NOT NULL UNION SELECT path FROM notes WHERE kind <> 'section'",
+    "lexicon_sections": r"SELECT doc_id FROM documents WHERE text IS NOT NULL AND (contains(lower(coalesce(section_id, '')), 'lexicon') OR contains(lower(coalesce(section_id, '')), 'glossary') OR regexp_matches(lower(left(text, 200)), '^#+\s*(lexicon|glossary)\b') OR len(regexp_extract_all(text, '\*\*[^*]+\s*[—–]+\s*\*\*')) >= 5)",
+    "anchor_strip": r"SELECT doc_id, md5(array_to_string(list_transform(string_split(regexp_replace(regexp_replace(text, '<span\s+id=\"page-[0-9]+-[0-9]+\"\s*>\s*</span>', '', 'g'), '<span\s*>\s*</span>', '', 'g'), chr(10)), lambda x: CASE WHEN contains(x, '|') THEN regexp_replace(x, '(?i)<br[ \t]*/?>', ' / ', 'g') ELSE x END), chr(10))) AS h FROM documents",
+    "heading_jaccard": f"""WITH k AS (SELECT 's' AS t, source_id, {_KEY} AS key FROM sections WHERE title IS NOT NULL UNION SELECT 't', source_id, {_KEY} FROM toc_entries WHERE title IS NOT NULL),
+        w AS (SELECT *, list_distinct(list_filter(string_split(key, ' '), lambda x: x <> '')) AS w1, list_distinct(list_filter(string_split({_AFF.replace('{k}', 'key')}, ' '), lambda x: x <> '')) AS w2 FROM k),
+        j AS (SELECT a.source_id, a.key AS a, b.key AS b, len(list_intersect(a.w1, b.w1)) / nullif(len(list_distinct(list_concat(a.w1, b.w1))), 0) AS j1, len(list_intersect(a.w2, b.w2)) / nullif(len(list_distinct(list_concat(a.w2, b.w2))), 0) AS j2 FROM w a JOIN w b ON a.source_id = b.source_id AND a.t = 's' AND b.t = 't' AND a.key <> b.key)
+        SELECT source_id, a, b, round(greatest(coalesce(j1, 0), coalesce(j2, 0)), 6) AS score FROM j WHERE greatest(coalesce(j1, 0), coalesce(j2, 0)) >= 0.5""",
     "font_stats": f"WITH {_SPANS} SELECT font, CAST(sum(length(text)) AS BIGINT) AS n_chars, count(*) AS n_spans, count(DISTINCT page) AS n_pages, bool_or(flags & 16 <> 0) AS bold, bool_or(flags & 2 <> 0) AS italic, bool_or(regexp_matches(font, '(?i)ding|symbol|zapf|wing|math|fantasy')) AS symbol FROM v GROUP BY ALL",
     "font_sizes_topk": f"WITH {_SPANS}, n AS (SELECT font, round(size, 1) AS size, count(*) AS count FROM v GROUP BY ALL), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY font ORDER BY count DESC, size) AS INTEGER) AS rank FROM n) SELECT * FROM r WHERE rank <= 5",
     "body_font_mode": f"WITH {_SPANS}, n AS (SELECT page, size, count(*) AS n, min(span_id) AS f FROM v WHERE NOT regexp_matches(text, '^[\\s0-9]*$') GROUP BY ALL) SELECT CAST(page AS INTEGER) AS page, arg_max(size, (n, -f)) AS body_size FROM n GROUP BY ALL",
@@ -290,6 +394,7 @@ _NAMES = (
     title_normalize, affix_strip, entity_slug, source_id_slug, bullet_normalize, whitespace_normalize, running_header_strip, br_in_tables, page_ref_annotate, heading_scan, heading_ranges, heading_match_exact, heading_dedupe, page_text_clean, broken_doc_links,
     pipe_table_parse, pipe_table_filter, table_summary, table_markdown, table_csv, glossary_scan, glossary_dedupe, glossary_letters, glossary_sections, see_also_terms, heading_jaccard, font_stats,
     font_sizes_topk, body_font_mode, header_footer_lines, suspicious_chars, char_freq_topk, step_latest_status, pending_steps, source_upsert, content_key, orphan_files, stale_files, image_ref_resolve,
-    validation_summary, extraction_summary, book_index, global_index,
+    validation_summary, extraction_summary, book_index, global_index, entity_links, section_split, merge_same_headings, repair_text, anchor_strip, glossary_extract, structured_fields, lexicon_sections,
+    list_sources, book_last_page, glossary_letter_breaks, toc_dedupe, toc_level_sets, roman_to_int, empty_columns, expected_files,
 )
 QUERIES = {f.__name__: f for f in _NAMES}

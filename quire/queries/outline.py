@@ -16,7 +16,7 @@ def _toc(spark: SparkSession, d: str) -> DataFrame:
 
 
 def toc_clean(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "toc_entries").select("entry_id", "source_id", "ord", "level", text.collapse(F.col("title")).alias("title"), F.greatest("pdf_page", F.lit(0)).alias("pdf_page"))
+    return table(spark, d, "toc_entries").select("entry_id", "source_id", "ord", "level", text.collapse(F.col("title")).alias("title"), F.when(F.col("pdf_page").isNotNull(), F.greatest("pdf_page", F.lit(0))).alias("pdf_page"))
 
 
 def section_tree(spark: SparkSession, d: str) -> DataFrame:
@@ -38,7 +38,7 @@ def parent_clipping(spark: SparkSession, d: str) -> DataFrame:
 
 
 def overlapping_siblings(spark: SparkSession, d: str) -> DataFrame:
-    return outline.overlapping_siblings(table(spark, d, "sections")).select("section_row", "before_end")
+    return outline.overlapping_siblings(table(spark, d, "sections")).select("section_row")
 
 
 def section_page_filter(spark: SparkSession, d: str) -> DataFrame:
@@ -57,14 +57,18 @@ def single_root_unwrap(spark: SparkSession, d: str) -> DataFrame:
     return outline.unwrap_single_root(tree).select("source_id", "ord", "level", "parent_id", "section_id", "is_root")
 
 
-def page_ref_resolve(spark: SparkSession, d: str) -> DataFrame:
+def _page_refs(spark: SparkSession, d: str):
+    """Every bookmarked page, and for each book one that it may not have."""
     refs = table(spark, d, "toc_entries").where("pdf_page is not null").select("source_id", F.col("pdf_page").alias("page")).distinct()
-    return outline.resolve_pages(refs, table(spark, d, "sections")).where("section_id is not null")
+    return refs.unionByName(table(spark, d, "pdf_sources").select("source_id", (F.col("page_count") * 2).alias("page"))).unionByName(table(spark, d, "pdf_sources").select("source_id", F.lit(1 << 30).alias("page"))).distinct()
+
+
+def page_ref_resolve(spark: SparkSession, d: str) -> DataFrame:
+    return outline.resolve_pages(_page_refs(spark, d), table(spark, d, "sections")).where("section_id is not null")
 
 
 def unresolved_refs(spark: SparkSession, d: str) -> DataFrame:
-    refs = table(spark, d, "toc_entries").where("pdf_page is not null").select("source_id", F.col("pdf_page").alias("page")).distinct()
-    return outline.resolve_pages(refs, table(spark, d, "sections")).where("section_id is null").select("source_id", "page")
+    return outline.resolve_pages(_page_refs(spark, d), table(spark, d, "sections")).where("section_id is null").select("source_id", "page")
 
 
 def page_fill_asof(spark: SparkSession, d: str) -> DataFrame:
@@ -87,7 +91,7 @@ def relative_links(spark: SparkSession, d: str) -> DataFrame:
 
 
 def roman_labels(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "pdf_sources").select("source_id", F.explode(F.sequence(F.lit(1), F.least("page_count", F.lit(3999)))).alias("n"))
+    p = table(spark, d, "pdf_sources").select("source_id", F.explode(F.sequence(F.lit(1), F.col("page_count"))).alias("n"))
     return p.select("source_id", "n", text.page_label(F.lit(""), F.lit("/r"), F.col("n")).alias("label"))
 
 
@@ -116,17 +120,22 @@ r AS (
   FROM r JOIN n ON n.source_id = r.source_id AND n.n = r.n + 1),
 o AS (SELECT source_id, ord, CAST(len(stack) AS INTEGER) AS depth, CASE WHEN up IS NOT NULL THEN source_id || '/' || up END AS parent_id, source_id || '/' || stack[-1] AS section_id, level = 1 AS is_root FROM r)
 """
-_LEAF = """
-WITH s AS (SELECT s.source_id, s.section_id, s.ord, s.section_row, s.pdf_page_start a, s.pdf_page_end b,
-             CASE WHEN EXISTS (SELECT 1 FROM sections c WHERE c.source_id = s.source_id AND c.parent_id = s.section_id) THEN 1 ELSE 0 END AS inner_
-           FROM sections s WHERE s.pdf_page_start <= s.pdf_page_end),
-r AS (SELECT DISTINCT source_id, pdf_page AS page FROM toc_entries WHERE pdf_page IS NOT NULL),
-j AS (SELECT r.source_id, r.page, s.section_id, row_number() OVER (PARTITION BY r.source_id, r.page ORDER BY inner_, ord, section_row) AS k
-      FROM r LEFT JOIN s ON s.source_id = r.source_id AND r.page BETWEEN s.a AND s.b)
+_NUM = "TRY_CAST(CASE WHEN regexp_matches(trim(string_split({c}, '-')[1]), '^[0-9]{{1,9}}$') THEN trim(string_split({c}, '-')[1]) END AS INTEGER)"
+_LEAF = f"""
+WITH s AS (SELECT s.*, {_NUM.format(c="printed_page_start")} AS p1, {_NUM.format(c="coalesce(printed_page_end, printed_page_start)")} AS p2,
+             CASE WHEN EXISTS (SELECT 1 FROM sections c WHERE c.source_id = s.source_id AND c.parent_id = s.section_id) THEN 1 ELSE 0 END AS inner_ FROM sections s),
+v AS (SELECT source_id, section_id, inner_, ord, section_row, 0 AS rank, CASE WHEN printed_page_start IS NULL THEN pdf_page_start ELSE p1 END AS a, CASE WHEN printed_page_start IS NULL THEN pdf_page_end ELSE p2 END AS b FROM s
+      UNION ALL SELECT source_id, section_id, inner_, ord, section_row, 1, pdf_page_start, pdf_page_end FROM s),
+r AS (SELECT source_id, pdf_page AS page FROM toc_entries WHERE pdf_page IS NOT NULL UNION SELECT source_id, page_count * 2 FROM pdf_sources UNION SELECT source_id, 1073741824 FROM pdf_sources),
+o AS (SELECT r.source_id, r.page, v.section_id, CASE rank WHEN 0 THEN 'printed' ELSE 'file' END AS tier, row_number() OVER (PARTITION BY r.source_id, r.page ORDER BY rank, inner_, ord, section_row) AS k
+      FROM r JOIN v ON v.source_id = r.source_id AND r.page BETWEEN v.a AND v.b),
+m AS (SELECT * FROM r WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.source_id = r.source_id AND o.page = r.page)),
+x AS (SELECT m.source_id, m.page, v.section_id, row_number() OVER (PARTITION BY m.source_id, m.page ORDER BY v.source_id, rank, inner_, ord, section_row) AS k FROM m LEFT JOIN v ON m.page BETWEEN v.a AND v.b),
+j AS (SELECT source_id, page, section_id, tier FROM o WHERE k = 1 UNION ALL SELECT source_id, page, section_id, 'other' FROM x WHERE k = 1)
 """
 _ROMAN = "lower(repeat('M', n // 1000) || ['','C','CC','CCC','CD','D','DC','DCC','DCCC','CM'][n // 100 % 10 + 1] || ['','X','XX','XXX','XL','L','LX','LXX','LXXX','XC'][n // 10 % 10 + 1] || ['','I','II','III','IV','V','VI','VII','VIII','IX'][n % 10 + 1])"
 SQL = {
-    "toc_clean": f"SELECT entry_id, source_id, ord, level, trim(regexp_replace(title, '{_BL}+', ' ', 'g')) AS title, greatest(pdf_page, 0) AS pdf_page FROM toc_entries",
+    "toc_clean": f"SELECT entry_id, source_id, ord, level, trim(regexp_replace(title, '{_BL}+', ' ', 'g')) AS title, CASE WHEN pdf_page < 0 THEN 0 ELSE pdf_page END AS pdf_page FROM toc_entries",
     "section_tree": _TREE + "SELECT * FROM o",
     "note_paths": _TREE + ", d AS (SELECT DISTINCT source_id, section_id FROM o) SELECT source_id, section_id, 'books/' || section_id || CASE WHEN section_id IN (SELECT parent_id FROM o WHERE parent_id IS NOT NULL) THEN '/index.md' ELSE '.md' END AS path FROM d",
     "section_page_ranges": f"""WITH {_DEDUP}, p AS (SELECT t.*, page_count FROM t JOIN pdf_sources USING (source_id) WHERE pdf_page IS NOT NULL)
@@ -135,14 +144,14 @@ SQL = {
     "parent_clipping": """WITH f AS (SELECT source_id, parent_id, min(pdf_page_start) m FROM sections WHERE parent_id IS NOT NULL GROUP BY ALL)
         SELECT section_row, CASE WHEN m IS NULL THEN pdf_page_end ELSE least(pdf_page_end, greatest(m - 1, pdf_page_start)) END AS text_page_end
         FROM sections s LEFT JOIN f ON f.source_id = s.source_id AND f.parent_id = s.section_id""",
-    "overlapping_siblings": """WITH s AS (SELECT *, lag(pdf_page_end) OVER (PARTITION BY source_id, parent_id ORDER BY pdf_page_start, ord, section_row) AS before_end FROM sections WHERE pdf_page_start IS NOT NULL AND pdf_page_end IS NOT NULL)
-        SELECT section_row, before_end FROM s WHERE pdf_page_start <= before_end""",
+    "overlapping_siblings": """WITH s AS (SELECT section_row, source_id, parent_id, pdf_page_start AS a, row_number() OVER (PARTITION BY source_id, parent_id ORDER BY ord, section_row) AS k FROM sections)
+        SELECT DISTINCT unnest([x.section_row, y.section_row]) AS section_row FROM s x JOIN s y ON x.source_id = y.source_id AND x.parent_id IS NOT DISTINCT FROM y.parent_id AND y.k = x.k + 1 AND x.a = y.a""",
     "section_page_filter": "SELECT section_row FROM sections WHERE pdf_page_end >= 10 AND pdf_page_start <= 20",
     "section_pattern_filter": "SELECT DISTINCT section_row, section_id FROM sections, (VALUES ('lantern'), ('iron-gate'), ('tower')) v(p) WHERE section_id = p OR slug = p OR section_id LIKE '%/' || p OR contains(lower(title), p)",
-    "page_ref_resolve": _LEAF + "SELECT source_id, page, section_id FROM j WHERE k = 1 AND section_id IS NOT NULL",
-    "unresolved_refs": _LEAF + "SELECT source_id, page FROM j WHERE k = 1 AND section_id IS NULL",
+    "page_ref_resolve": _LEAF + "SELECT source_id, page, section_id, tier FROM j WHERE section_id IS NOT NULL",
+    "unresolved_refs": _LEAF + "SELECT source_id, page FROM j WHERE section_id IS NULL",
     "page_fill_asof": "SELECT entry_id, coalesce(last_value(pdf_page IGNORE NULLS) OVER (PARTITION BY source_id ORDER BY ord, entry_id ROWS UNBOUNDED PRECEDING), 0) AS page FROM toc_entries",
-    "roman_labels": f"WITH p AS (SELECT source_id, unnest(generate_series(1, least(page_count, 3999))) AS n FROM pdf_sources) SELECT source_id, CAST(n AS INTEGER) AS n, {_ROMAN} AS label FROM p",
+    "roman_labels": f"WITH p AS (SELECT source_id, unnest(generate_series(1, page_count)) AS n FROM pdf_sources) SELECT source_id, CAST(n AS INTEGER) AS n, {_ROMAN} AS label FROM p",
     "alpha_labels": """WITH p AS (SELECT source_id, unnest(generate_series(1, page_count)) AS n FROM pdf_sources)
         SELECT source_id, CAST(n AS INTEGER) AS n, 'App-' || CASE WHEN n > 702 THEN chr(CAST(97 + ((n - 1) // 26 - 1) // 26 - 1 AS INTEGER)) ELSE '' END || CASE WHEN n > 26 THEN chr(CAST(97 + ((n - 1) // 26 - 1) % 26 AS INTEGER)) ELSE '' END || chr(CAST(97 + (n - 1) % 26 AS INTEGER)) AS label FROM p""",
     "printed_pages": "SELECT section_row, TRY_CAST(CASE WHEN regexp_matches(trim(string_split(printed_page_start, '-')[1]), '^[0-9]{1,9}$') THEN trim(string_split(printed_page_start, '-')[1]) END AS INTEGER) AS page FROM sections",

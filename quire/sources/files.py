@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import paths, text
+from quire.operators import markdown
 
 
 def documents(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFrame:
@@ -73,13 +74,24 @@ def archive_assets(entries: DataFrame) -> DataFrame:
 
 
 def render_notes(sections: DataFrame) -> DataFrame:
-    """(path, content): front matter in a fixed order, the title, and the text or a placeholder."""
-    q = lambda c: F.concat(F.lit('"'), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
-    line = lambda k, c: F.when(c.isNotNull(), F.concat(F.lit(k + ": "), c))
-    head = F.concat_ws("\n", F.lit("---"), line("source_id", q(F.col("source_id"))), line("section_id", q(F.col("section_id"))), line("title", q(F.col("title"))), line("level", F.col("level").cast("string")),
-                       line("pdf_page_start", F.col("pdf_page_start").cast("string")), line("pdf_page_end", F.col("pdf_page_end").cast("string")), line("printed_page_start", q(F.col("printed_page_start"))), line("printed_page_end", q(F.col("printed_page_end"))), F.lit("---"))
-    body = F.when(F.length(F.trim(F.coalesce("text", F.lit("")))) > 0, F.col("text")).otherwise("*No text yet.*")
-    return sections.select("path", F.concat(head, F.lit("\n\n# "), F.col("title"), F.lit("\n\n"), body, F.lit("\n")).alias("content"))
+    """(path, content): front matter in a fixed order, the title, and the text without it, or a placeholder.
+
+    ``sections``: path, pdf_path, sha256, source_id, section_id, level, pages, parent_id, printed pages, title, text.
+    Printed pages are listed only where known; a null title is an empty one.
+    """
+    q = lambda c: F.when(c.isNull(), F.lit("null")).when(c.rlike(r"^[A-Za-z][A-Za-z0-9 /_.()-]*[A-Za-z0-9)]$") & ~F.lower(c).isin("null", "true", "false", "yes", "no", "on", "off"), c).otherwise(F.concat(F.lit('"'), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"')))
+    num = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
+    line = lambda k, c: F.concat(F.lit(k + ": "), c)
+    ref = F.concat(paths.basename(F.col("pdf_path")), F.lit(" (sha256:"), F.left("sha256", F.lit(16)), F.lit(")"))
+    printed = [F.when(F.col(c).isNotNull(), line(c, q(F.col(c)))) for c in ("printed_page_start", "printed_page_end")]
+    head = F.concat_ws(
+        "\n", F.lit("---"), line("source_pdf", F.concat(F.lit('"'), F.coalesce(ref, F.lit("")), F.lit('"'))), line("source_pdf_id", q(F.col("source_id"))), line("section_id", q(F.col("section_id"))), line("level", num(F.col("level"))),
+        line("pdf_page_start", num(F.col("pdf_page_start"))), line("pdf_page_end", num(F.col("pdf_page_end"))), line("parent_section_id", q(F.nullif("parent_id", F.lit("")))), F.lit("aliases: []"), F.lit("tags:\n- rulebook\n- imported"), *printed, F.lit("---"),
+    )
+    title = F.coalesce("title", F.lit(""))
+    text_ = text.rsub(F.coalesce("text", F.lit("")), r"^\s+|\s+\z", "")
+    body = F.when(text_ != "", F.when(title != "", markdown.drop_title_heading(text_, title)).otherwise(text_)).otherwise("> Content extraction not yet populated.")
+    return sections.select("path", F.concat(head, F.lit("\n\n# "), title, F.lit("\n\n"), body, F.lit("\n")).alias("content"))
 
 
 def write_notes(notes: DataFrame, root: str) -> None:
