@@ -7,10 +7,10 @@ of depth k, so parents and paths are ``last`` windows. An entry that jumps over
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import page_number
+from quire.functions.text import page_label, page_number
 
 #: No outline is deeper; a level beyond it is refused rather than cut.
 MOST_LEVELS = 64
@@ -147,3 +147,40 @@ def unwrap_single_root(tree: DataFrame) -> DataFrame:
         "level": F.when(inside, F.col("level") - 1).otherwise(F.col("level")),
         "is_root": F.coalesce(top, F.lit(False)) | F.col("is_root"),
     }).drop("root_id")
+
+
+def page_labels(ranges: DataFrame, books: DataFrame) -> DataFrame:
+    """(source_id, page, label) of label ranges (source_id, start, prefix, style, first) up to the next range or the end.
+
+    ``books``: source_id, page_count. Of several ranges with one start the least prefix counts; pages before the first
+    range have no label.
+    """
+    r = ranges.groupBy("source_id", "start").agg(F.min(F.struct("prefix", "style", "first")).alias("r")).select("source_id", "start", "r.*")
+    r = r.withColumn("stop", F.lead("start").over(Window.partitionBy("source_id").orderBy("start"))).join(books.select("source_id", "page_count"), "source_id")
+    r = r.withColumn("stop", F.least(F.coalesce("stop", "page_count"), "page_count")).where("start < stop")
+    pages = r.select("*", F.explode(F.sequence("start", F.col("stop") - 1)).alias("page"))
+    return pages.select("source_id", "page", page_label(F.col("prefix"), F.col("style"), F.col("first") + F.col("page") - F.col("start")).alias("label"))
+
+
+def label_sections(sections: DataFrame, labels: DataFrame) -> DataFrame:
+    """Adds label_start and label_end: the labels of a section's first and last page, null where there is none."""
+    of = lambda page, name: labels.select("source_id", F.col("page").alias(page), F.col("label").alias(name))
+    return sections.join(of("pdf_page_start", "label_start"), ["source_id", "pdf_page_start"], "left").join(of("pdf_page_end", "label_end"), ["source_id", "pdf_page_end"], "left")
+
+
+def cascade(tiers: list[DataFrame], books: DataFrame) -> DataFrame:
+    """(source_id, page, label): each book's labels from the first of the tiers that has any; pages it lacks count from 1."""
+    have, out = None, None
+    for t in tiers:
+        mine = t if have is None else t.join(have, "source_id", "left_anti")
+        out = mine if out is None else out.unionByName(mine)
+        now = t.select("source_id").distinct()
+        have = now if have is None else have.union(now).distinct()
+    pages = books.select("source_id", F.explode(F.sequence(F.lit(0), F.col("page_count") - 1)).alias("page"))
+    return pages.join(out, ["source_id", "page"], "left").select("source_id", "page", F.coalesce("label", (F.col("page") + 1).cast("string")).alias("label"))
+
+
+def distinct_slug(slug: Column, title: Column) -> Column:
+    """A slug made another one by the first word of the title, of three letters or more, that it does not hold, else ``rules``."""
+    words = F.filter(F.split(F.lower(title), r"\s+"), lambda w: (F.length(w) > 2) & ~F.contains(slug, w))
+    return F.concat(slug, F.lit("-"), F.coalesce(F.get(words, F.lit(0)), F.lit("rules")))

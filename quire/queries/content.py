@@ -383,6 +383,12 @@ SQL = {
     "book_index": "WITH s AS (SELECT source_id, section_id, min(ord) AS ord, min_by(title, section_row) AS title FROM sections WHERE level = 1 GROUP BY ALL) SELECT source_id, count(*) AS n_chapters, md5(string_agg('- ' || title, chr(10) ORDER BY ord, section_id, title)) AS h FROM s GROUP BY ALL",
     "global_index": "WITH r AS (SELECT source_id, count(DISTINCT section_id) AS n FROM sections WHERE level = 1 GROUP BY ALL) SELECT source_id, source_id || ': ' || page_count || ' pages, ' || coalesce(n, 0) || CASE WHEN coalesce(n, 0) = 1 THEN ' chapter' ELSE ' chapters' END AS line FROM pdf_sources LEFT JOIN r USING (source_id)",
 }
+_PADDED = "list_transform(generate_series(1, len(headers)), lambda i: coalesce(v[i], ''))"
+_QUOTED = """list_transform({x}, lambda c: CASE WHEN regexp_matches(c, '[",\\r\\n]') THEN '"' || replace(c, '"', '""') || '"' ELSE c END)"""
+_BODY = _PARSE + f", k AS (SELECT table_id, headers, list_transform(body, lambda y: {_CELLS.format(x='y')}) AS cells FROM t)"
+SQL["table_markdown"] = _BODY + f" SELECT table_id, '| ' || array_to_string(headers, ' | ') || ' |' || chr(10) || '|' || array_to_string(list_transform(headers, lambda h: ' --- '), '|') || '|' || chr(10) || array_to_string(list_transform(cells, lambda v: '| ' || array_to_string({_PADDED}, ' | ') || ' |'), chr(10)) AS markdown FROM k"
+SQL["table_csv"] = _BODY + f" SELECT table_id, array_to_string({_QUOTED.format(x='headers')}, ',') || chr(13) || chr(10) || array_to_string(list_transform(cells, lambda v: array_to_string({_QUOTED.format(x=_PADDED)}, ',')), chr(13) || chr(10)) || chr(13) || chr(10) AS csv FROM k"
+SQL["char_freq_topk"] = "WITH c AS (SELECT level, unnest(regexp_extract_all(title, '(?s).')) AS ch FROM sections), n AS (SELECT level, hex(encode(ch)) AS char, count(*) AS count FROM c GROUP BY ALL), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY level ORDER BY count DESC, char) AS INTEGER) AS rank FROM n) SELECT * FROM r WHERE rank <= 20"
 SQL["heading_ranges"] = "WITH x AS (" + SQL["heading_scan"] + ") SELECT doc_id, line, CAST(lead(line) OVER (PARTITION BY doc_id ORDER BY line) - 1 AS INTEGER) AS line_end FROM x"
 SQL["heading_match_exact"] = (
     "WITH x AS (" + SQL["heading_scan"] + f"), h AS (SELECT source AS source_id, x.doc_id, line, {_KEY} AS key FROM x JOIN documents d ON d.doc_id = x.doc_id), "

@@ -104,6 +104,32 @@ def printed_pages(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "sections").select("section_row", text.page_number(F.col("printed_page_start")).alias("page"))
 
 
+def _labels(spark: SparkSession, d: str) -> DataFrame:
+    """Ten pages of front matter in Roman numerals, then the body."""
+    books = table(spark, d, "pdf_sources")
+    rows = F.expr("array(named_struct('start', 0, 'prefix', '', 'style', '/r', 'first', 1), named_struct('start', 10, 'prefix', 'A-', 'style', '/D', 'first', 1))")
+    return outline.page_labels(books.select("source_id", F.inline(rows)), books)
+
+
+def label_ranges(spark: SparkSession, d: str) -> DataFrame:
+    return _labels(spark, d)
+
+
+def section_labels(spark: SparkSession, d: str) -> DataFrame:
+    return outline.label_sections(table(spark, d, "sections"), _labels(spark, d)).select("section_row", "label_start", "label_end")
+
+
+def label_cascade(spark: SparkSession, d: str) -> DataFrame:
+    """The printed pages of a book's sections where it has any, else its label ranges, else numbers."""
+    s = table(spark, d, "sections").where("printed_page_start is not null and pdf_page_start is not null")
+    printed = s.groupBy("source_id", F.col("pdf_page_start").alias("page")).agg(F.min("printed_page_start").alias("label"))
+    return outline.cascade([printed, _labels(spark, d)], table(spark, d, "pdf_sources"))
+
+
+def slug_disambiguate(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "sections").where("title is not null").select("section_row", outline.distinct_slug(F.lit("the-rules"), F.col("title")).alias("slug"))
+
+
 _DEDUP = "t AS (SELECT source_id, ord, min_by(level, entry_id) AS level, min_by(title, entry_id) AS title, min_by(pdf_page, entry_id) AS pdf_page FROM toc_entries GROUP BY ALL)"
 _SLUG = r"""coalesce(nullif(regexp_replace(regexp_replace(lower(regexp_replace(title, '[()\[\]{}]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'untitled')"""
 _BL = r"[ \t\n\r\f\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -156,4 +182,10 @@ SQL = {
         SELECT source_id, CAST(n AS INTEGER) AS n, 'App-' || CASE WHEN n > 702 THEN chr(CAST(97 + ((n - 1) // 26 - 1) // 26 - 1 AS INTEGER)) ELSE '' END || CASE WHEN n > 26 THEN chr(CAST(97 + ((n - 1) // 26 - 1) % 26 AS INTEGER)) ELSE '' END || chr(CAST(97 + (n - 1) % 26 AS INTEGER)) AS label FROM p""",
     "printed_pages": "SELECT section_row, TRY_CAST(CASE WHEN regexp_matches(trim(string_split(printed_page_start, '-')[1]), '^[0-9]{1,9}$') THEN trim(string_split(printed_page_start, '-')[1]) END AS INTEGER) AS page FROM sections",
 }
-QUERIES = {f.__name__: f for f in (toc_clean, section_tree, section_page_ranges, note_paths, parent_clipping, overlapping_siblings, section_page_filter, section_pattern_filter, single_root_unwrap, page_ref_resolve, unresolved_refs, page_fill_asof, slug_unicode, relative_links, roman_labels, alpha_labels, printed_pages)}
+_RANGES = f"l AS (SELECT source_id, CAST(page AS INTEGER) AS page, CASE WHEN page < 10 THEN {_ROMAN.replace('n //', '(page + 1) //').replace('n %', '(page + 1) %')} ELSE 'A-' || (page - 9) END AS label FROM (SELECT source_id, unnest(generate_series(0, page_count - 1)) AS page FROM pdf_sources))"
+SQL["label_ranges"] = f"WITH {_RANGES} SELECT * FROM l"
+SQL["section_labels"] = f"WITH {_RANGES} SELECT section_row, a.label AS label_start, b.label AS label_end FROM sections s LEFT JOIN l a ON a.source_id = s.source_id AND a.page = pdf_page_start LEFT JOIN l b ON b.source_id = s.source_id AND b.page = pdf_page_end"
+SQL["label_cascade"] = f"""WITH {_RANGES}, p AS (SELECT source_id, pdf_page_start AS page, min(printed_page_start) AS label FROM sections WHERE printed_page_start IS NOT NULL AND pdf_page_start IS NOT NULL GROUP BY ALL)
+    SELECT l.source_id, l.page, coalesce(CASE WHEN l.source_id IN (SELECT source_id FROM p) THEN p.label ELSE l.label END, CAST(l.page + 1 AS VARCHAR)) AS label FROM l LEFT JOIN p ON p.source_id = l.source_id AND p.page = l.page"""
+SQL["slug_disambiguate"] = r"SELECT section_row, 'the-rules-' || coalesce(list_filter(regexp_split_to_array(lower(title), '\s+'), lambda w: length(w) > 2 AND NOT contains('the-rules', w))[1], 'rules') AS slug FROM sections WHERE title IS NOT NULL"
+QUERIES = {f.__name__: f for f in (label_ranges, section_labels, label_cascade, slug_disambiguate, toc_clean, section_tree, section_page_ranges, note_paths, parent_clipping, overlapping_siblings, section_page_filter, section_pattern_filter, single_root_unwrap, page_ref_resolve, unresolved_refs, page_fill_asof, slug_unicode, relative_links, roman_labels, alpha_labels, printed_pages)}

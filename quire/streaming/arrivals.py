@@ -22,8 +22,3 @@ def run_once(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkp
     q = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return q
-
-
-def windowed_counts(stream: DataFrame, at: str, key: str, late: str = "10 minutes", window: str = "5 minutes") -> DataFrame:
-    """Counts per key and window of event time; rows later than ``late`` behind the watermark are dropped."""
-    return stream.withWatermark(at, late).groupBy(F.window(at, window), key).count()
