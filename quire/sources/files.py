@@ -79,13 +79,13 @@ def render_notes(sections: DataFrame) -> DataFrame:
     ``sections``: path, pdf_path, sha256, source_id, section_id, level, pages, parent_id, printed pages, title, text.
     Printed pages are listed only where known; a null title is an empty one.
     """
-    q = lambda c: F.when(c.isNull(), F.lit("null")).when(c.rlike(r"^[A-Za-z][A-Za-z0-9 /_.()-]*[A-Za-z0-9)]$") & ~F.lower(c).isin("null", "true", "false", "yes", "no", "on", "off"), c).otherwise(F.concat(F.lit('"'), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"')))
+    q = lambda c: F.when(c.isNull(), F.lit("null")).when(c.rlike(r"^[A-Za-z]([A-Za-z0-9 /_.():-]*[A-Za-z0-9)])?$") & ~F.contains(c, F.lit(": ")) & ~F.lower(c).isin("null", "true", "false", "yes", "no", "on", "off", "y", "n"), c).otherwise(F.concat(F.lit('"'), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"')))
     num = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
     line = lambda k, c: F.concat(F.lit(k + ": "), c)
     ref = F.concat(paths.basename(F.col("pdf_path")), F.lit(" (sha256:"), F.left("sha256", F.lit(16)), F.lit(")"))
     printed = [F.when(F.col(c).isNotNull(), line(c, q(F.col(c)))) for c in ("printed_page_start", "printed_page_end")]
     head = F.concat_ws(
-        "\n", F.lit("---"), line("source_pdf", F.concat(F.lit('"'), F.coalesce(ref, F.lit("")), F.lit('"'))), line("source_pdf_id", q(F.col("source_id"))), line("section_id", q(F.col("section_id"))), line("level", num(F.col("level"))),
+        "\n", F.lit("---"), line("source_pdf", q(ref)), line("source_pdf_id", q(F.col("source_id"))), line("section_id", q(F.col("section_id"))), line("level", num(F.col("level"))),
         line("pdf_page_start", num(F.col("pdf_page_start"))), line("pdf_page_end", num(F.col("pdf_page_end"))), line("parent_section_id", q(F.nullif("parent_id", F.lit("")))), F.lit("aliases: []"), F.lit("tags:\n- rulebook\n- imported"), *printed, F.lit("---"),
     )
     title = F.coalesce("title", F.lit(""))

@@ -73,7 +73,7 @@ def test_notes(spark):
     cols = "path string, pdf_path string, sha256 string, source_id string, section_id string, level int, pdf_page_start int, pdf_page_end int, parent_id string, printed_page_start string, printed_page_end string, title string, text string"
     rows = [("a.md", "/x/B.pdf", "0123456789abcdefgh", "b", "b/a", 1, 0, 3, None, "117", None, "Damage", "# *Damage*\n\n## damage\ntext\n# Damage Types\n\nmore"), ("n.md", None, None, "b", "b/n", None, None, None, "b/a", None, None, None, None)]
     got = {r.path: r.content for r in files.render_notes(spark.createDataFrame(rows, cols)).collect()}
-    assert got["a.md"] == '---\nsource_pdf: "B.pdf (sha256:0123456789abcdef)"\nsource_pdf_id: "b"\nsection_id: b/a\nlevel: 1\npdf_page_start: 0\npdf_page_end: 3\nparent_section_id: null\naliases: []\ntags:\n- rulebook\n- imported\nprinted_page_start: "117"\n---\n\n# Damage\n\ntext\nmore\n'
+    assert got["a.md"] == '---\nsource_pdf: B.pdf (sha256:0123456789abcdef)\nsource_pdf_id: b\nsection_id: b/a\nlevel: 1\npdf_page_start: 0\npdf_page_end: 3\nparent_section_id: null\naliases: []\ntags:\n- rulebook\n- imported\nprinted_page_start: "117"\n---\n\n# Damage\n\ntext\nmore\n'
     assert "not yet populated" in got["n.md"] and "printed" not in got["n.md"]
 
 

@@ -43,12 +43,14 @@ def test_engines(spark, folder):
 
 
 def test_notes(spark, tmp_path):
-    cols = "source_id string, section_id string, title string, level int, pdf_page_start int, pdf_page_end int, printed_page_start string, printed_page_end string, text string, path string"
-    df = spark.createDataFrame([("s", "s/a", 'A "b"', 1, 0, 3, "117", None, "Body", "books/s/a.md"), ("s", "s/c", "C", 1, 4, 5, None, None, None, "books/s/c.md")], cols)
+    cols = "source_id string, section_id string, title string, level int, pdf_page_start int, pdf_page_end int, printed_page_start string, printed_page_end string, text string, path string, pdf_path string, sha256 string, parent_id string"
+    book = ("/p/my book.pdf", "0123456789abcdefgh")
+    df = spark.createDataFrame([("s", "s/a", 'A "b"', 1, 0, 3, "117", None, "Body", "books/s/a.md", *book, None), ("s", "s/c", "C", 1, 4, 5, None, None, None, "books/s/c.md", *book, "s/a")], cols)
     files.write_notes(files.render_notes(df), str(tmp_path))
     a = (tmp_path / "books/s/a.md").read_text()
-    assert a.startswith('---\nsource_id: "s"\nsection_id: "s/a"\ntitle: "A \\"b\\""\nlevel: 1\n') and 'printed_page_start: "117"\n---' in a and a.endswith('\n\n# A "b"\n\nBody\n')
-    assert "*No text yet.*" in (tmp_path / "books/s/c.md").read_text()
+    assert a.startswith("---\nsource_pdf: my book.pdf (sha256:0123456789abcdef)\nsource_pdf_id: s\nsection_id: s/a\nlevel: 1\n") and 'printed_page_start: "117"\n---' in a and a.endswith('\n\n# A "b"\n\nBody\n')
+    c = (tmp_path / "books/s/c.md").read_text()
+    assert "\nparent_section_id: s/a\n" in c and "> Content extraction not yet populated." in c
 
 
 def test_arrivals_are_handled_once(spark, folder, tmp_path_factory):
