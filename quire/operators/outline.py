@@ -36,10 +36,9 @@ def section_tree(toc: DataFrame, slug: str = "slug", max_level: int | None = Non
     upto, before = book.rowsBetween(Window.unboundedPreceding, Window.currentRow), book.rowsBetween(Window.unboundedPreceding, -1)
     t = toc.withColumn("n", F.row_number().over(book))
     t = t.withColumn("depth", (F.col("n") + F.least(F.lit(0), F.min(F.col("level") - F.col("n")).over(upto))).cast("int"))
-    for k in range(1, max_level):
-        t = t.withColumn(f"s{k}", F.last(F.when(F.col("depth") == k, F.col(slug)), ignorenulls=True).over(before))
-        # whether the open section at depth k was itself properly nested; a jumped one starts a path of its own
-        t = t.withColumn(f"j{k}", F.last(F.when(F.col("depth") == k, F.col("level") != F.col("depth")), ignorenulls=True).over(before))
+    # s: the open section at each depth; j: whether it was itself properly nested, since a jumped one starts a path of its own
+    last = lambda k, c: F.last(F.when(F.col("depth") == k, c), ignorenulls=True).over(before)
+    t = t.withColumns({f"s{k}": last(k, F.col(slug)) for k in range(1, max_level)} | {f"j{k}": last(k, F.col("level") != F.col("depth")) for k in range(1, max_level)})
     # the path of the open section at each depth; one column a depth, since each is read twice by the next
     t = t.withColumn("p1", F.col("s1"))
     for k in range(2, max_level):
