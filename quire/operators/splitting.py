@@ -4,7 +4,7 @@ A book's text is its documents in order; a line's place is (doc, line). Frames o
 per book, and every step is a join or window over them; no book's text passes through one task.
 
 Titles match exactly; else by containment, found by an equi join on the rarest four letters of the shorter title; else
-by shared words, found by an equi join on each title's rarest words (as many as a similarity of ``LIKE`` demands). Only
+by shared words, found by an equi join on pairs of each title's rarest words (as many as the similarity demands). Only
 the last step, in which sections claim headings one after the other, reads a book in order, as a stream.
 """
 
@@ -21,6 +21,8 @@ from quire.session import cut
 
 #: Least similarity of the words of two titles, and least score with the bonus for near pages.
 LIKE, ENOUGH = 0.3, 0.5
+#: Titles of at most so many words are compared if they share two (or the only) words that they must share; longer ones, if one.
+SHORT = 6
 #: Least score of a contained title, of 80 for equal lengths.
 CONTAINED = 30.0
 ANCHOR = r'^<span\s+id="page-([0-9]+)-[0-9]+"\s*>\s*</span>'
@@ -81,19 +83,78 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(both > 0, F.size(F.array_intersect(x, y)) / both).otherwise(0.0)
 
 
-def similar_titles(left: DataFrame, right: DataFrame, least: float = LIKE) -> DataFrame:
-    """(source_id, a, b, score): the larger Jaccard similarity of the words of two titles, with and without affixes."""
-    a, b = left.select("source_id", F.col("key").alias("a")).distinct(), right.select("source_id", F.col("key").alias("b")).distinct()
-    pairs = None
-    for form in (lambda c: c, strip_affixes):
-        wa, wb = (x.select("source_id", c, F.explode(_words(form(F.col(c)))).alias("w"), F.size(_words(form(F.col(c)))).alias("n")) for x, c in ((a, "a"), (b, "b")))
-        freq = wa.select("source_id", "w").unionByName(wb.select("source_id", "w")).groupBy("source_id", "w").agg(F.count(F.lit(1)).alias("f"))
-        # of n words, a similar title shares one of the n - ceil(least * n) + 1 rarest
-        prefix = lambda x, c: x.join(freq, ["source_id", "w"]).withColumn("r", F.row_number().over(Window.partitionBy("source_id", c).orderBy("f", "w"))).where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * least) + 1).select("source_id", c, "w")  # noqa: E731, B023
-        p = prefix(wa, "a").join(prefix(wb, "b"), ["source_id", "w"]).select("source_id", "a", "b")
-        pairs = p if pairs is None else pairs.unionByName(p)
-    s = pairs.distinct().withColumn("score", F.greatest(jaccard(F.col("a"), F.col("b")), jaccard(strip_affixes(F.col("a")), strip_affixes(F.col("b")))))
-    return s.where(F.col("score") >= least)
+def _signs(n: int, least: float) -> list[tuple[int, int, int]]:
+    """(m, i, j) for a title of ``n`` <= SHORT words: to be similar to one of ``m``, it shares words i and j first of all for some of these.
+
+    Words are in the book's order of rarity. Two titles that must share ``o`` words have the first k shared ones among
+    the first n - o + k of each; k is 2 here, or 1 (j = -1) where a single word is enough.
+    """
+    out = []
+    for m in range(1, SHORT + 1):
+        o = next((o for o in range(1, min(n, m) + 1) if o / (n + m - o) >= least), None)
+        if o == 1:
+            out += [(m, i, -1) for i in range(n)]
+        elif o:
+            out += [(m, i, j) for j in range(n - o + 2) for i in range(j)]
+    return out
+
+
+def _title_words(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(source_id, key, in_a, in_b, full, bare): each title of either side with its words as numbers, with and without affixes.
+
+    A book's words are numbered from the rarest on, so that equal numbers are equal words and sorted ones the rarest first.
+    """
+    side = lambda x, a, b: x.select("source_id", "key", F.lit(a).alias("in_a"), F.lit(b).alias("in_b"))
+    t = side(left, True, False).unionByName(side(right, False, True)).groupBy("source_id", "key").agg(F.bool_or("in_a").alias("in_a"), F.bool_or("in_b").alias("in_b"))
+    t = t.withColumn("full", _words(F.col("key"))).withColumn("bare", _words(strip_affixes(F.col("key"))))
+    w = t.select("source_id", "key", "in_a", "in_b", F.explode(F.array_union("full", "bare")).alias("w"), F.array_contains("full", F.col("w")).alias("f"), F.array_contains("bare", F.col("w")).alias("b"))
+    ids = w.groupBy("source_id", "w").agg(F.count(F.lit(1)).alias("n")).select("source_id", "w", F.row_number().over(Window.partitionBy("source_id").orderBy("n", "w")).alias("id"))
+    of = lambda c: F.sort_array(F.collect_list(F.when(F.col(c), F.col("id"))))
+    return w.join(ids, ["source_id", "w"]).groupBy("source_id", "key", "in_a", "in_b").agg(of("f").alias("full"), of("b").alias("bare"))
+
+
+def similar_titles(left: DataFrame, right: DataFrame, least: float = LIKE, near: int | None = None) -> DataFrame:
+    """(source_id, a, b, score): the larger Jaccard similarity of the words of two titles, with and without affixes.
+
+    With ``near``, left and right have a ``page``, and titles come into question if theirs are at most so far apart;
+    the result has them as ``page`` and ``at``.
+    """
+    t = cut(_title_words(left, right))
+    table = F.array(*(F.array(*(F.struct(F.lit(m).alias("m"), F.lit(i).alias("i"), F.lit(j).alias("j")) for m, i, j in _signs(n, least))) for n in range(1, SHORT + 1)))
+
+    def signed(titles: DataFrame, me: str) -> DataFrame:
+        rows = None
+        for form in ("full", "bare"):
+            ws, n = F.col(form), F.size(form)
+            sign = lambda la, lb, u, v: F.struct(la.alias("la"), lb.alias("lb"), u.alias("u"), v.alias("v"))
+            mine = lambda m: (n, m) if me == "a" else (m, n)  # noqa: E731, B023
+            two = F.transform(F.get(table, n - 1), lambda s: sign(*mine(s["m"]), F.get(ws, s["i"]), F.coalesce(F.get(ws, s["j"]), F.lit(0))))  # noqa: B023
+            # beyond: of n words, a similar title shares one of the n - ceil(least * n) + 1 rarest; la is 0 if a is long, -1 if b alone is
+            one = lambda tag: F.transform(F.slice(ws, 1, n - F.ceil(n * least - 1e-9).cast("int") + 1), lambda u: sign(F.lit(tag), F.lit(0), u, F.lit(0)))  # noqa: E731, B023
+            if me == "a":
+                signs = F.when(n <= SHORT, F.concat(two, one(-1))).otherwise(one(0))
+            else:
+                signs = F.when(n <= SHORT, F.concat(two, one(0))).otherwise(F.concat(one(0), one(-1)))
+            x = titles.where(n > 0).select(*titles.columns, F.lit(form == "full").alias("whole"), (F.col("full") == F.col("bare")).alias("same"), F.explode(signs).alias("s"))
+            rows = x if rows is None else rows.unionByName(x)
+        own = ["key", "full", "bare", "same", *["page"] * (near is not None)]
+        return rows.select("source_id", "whole", "s.*", *(["on"] if near is not None else []), *(F.col(c).alias(f"{me}_{c}") for c in own))
+
+    a, b, on = t.where("in_a"), t.where("in_b"), ["source_id", "whole", "la", "lb", "u", "v"]
+    if near is not None:
+        pages = lambda x: x.where("page is not null").select("source_id", "key", "page").distinct()
+        a = a.join(pages(left), ["source_id", "key"]).withColumn("on", F.explode(F.sequence(F.col("page") - near, F.col("page") + near)))
+        b, on = b.join(pages(right), ["source_id", "key"]).withColumn("on", F.col("page")), [*on, "on"]
+    # titles without affixes are alike in both forms: one is enough
+    c = signed(a, "a").join(signed(b, "b").withColumnRenamed("b_same", "b_like"), on).where("whole or not (a_same and b_like)")
+    both = {f: F.array_intersect(f"a_{f}", f"b_{f}") for f in ("full", "bare")}
+    score = {f: F.coalesce(F.try_divide(F.size(x), F.size(f"a_{f}") + F.size(f"b_{f}") - F.size(x)), F.lit(0.0)) for f, x in both.items()}
+    # every pair comes once: by the first words that it shares, and without affixes only if it isn't similar with them
+    first = lambda x: (F.get(x, F.lit(0)) == F.col("u")) & ((F.col("v") == 0) | (F.get(x, F.lit(1)) == F.col("v")))
+    c = c.where(F.when(F.col("whole"), first(both["full"])).otherwise(first(both["bare"])))
+    c = c.where(F.when(F.col("whole"), score["full"] >= least).otherwise((score["bare"] >= least) & (score["full"] < least)))
+    more = [F.col("a_page").alias("page"), F.col("b_page").alias("at")] if near is not None else []
+    return c.select("source_id", F.col("a_key").alias("a"), F.col("b_key").alias("b"), F.when(F.col("a_same") & F.col("b_like"), score["full"]).otherwise(F.greatest(*score.values())).alias("score"), *more)
 
 
 def direct_matches(sections: DataFrame, heads: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Splitting by headings against a plain reading of the rules, and the single steps against brute force."""
 
 import random
+import threading
 
 from pyspark.sql import functions as F
 
@@ -57,3 +58,27 @@ def test_headings_are_claimed_once(spark):
     s = spark.createDataFrame([("b", f"s{k}", k, f"omen tower gate {x}", 0) for k, x in enumerate(("x", "y", "z", "w"))], "source_id string, section_id string, ord int, key string, page int")
     none = spark.createDataFrame([], "source_id string, section_id string, h int")
     assert {(r.section_id, r.h) for r in sp.fuzzy_matches(s, h, none).collect()} == {("s0", 1), ("s1", 2), ("s2", 3)}
+
+
+def test_titles_that_share_common_words_only_are_no_candidates(spark):
+    """8,000 titles a side, each of the form "the ... of ...": 64 million pairs share two words, 8,000 are similar."""
+    df = lambda x: spark.range(8000).select(F.lit("b").alias("source_id"), F.format_string(f"the k%1$d of w%1$d{x}", "id").alias("key"))
+    stop = threading.Timer(60, spark.sparkContext.cancelAllJobs)
+    stop.start()
+    try:
+        rows = sp.similar_titles(df("x"), df("y"), 0.5).agg(F.count("*"), F.min("score"), F.max("score"), F.count_distinct("a"), F.count_distinct("b")).first()
+    finally:
+        stop.cancel()
+    assert tuple(rows) == (8000, 0.6, 0.6, 8000, 8000)
+
+
+def test_similar_titles_of_any_length_against_brute_force(spark):
+    rnd = random.Random(5)
+    vocab = [f"w{k}" for k in range(12)] + ["the", "chapter", "3", "continued"]
+    left, right = ([" ".join(rnd.choices(vocab, k=rnd.choice((1, 2, 3, 4, 5, 6, 7, 9, 12)))) for _ in range(150)] for _ in range(2))
+    df = lambda t: spark.createDataFrame([("b", x) for x in t], "source_id string, key string")
+    score = F.greatest(sp.jaccard(F.col("a"), F.col("b")), sp.jaccard(sp.strip_affixes(F.col("a")), sp.strip_affixes(F.col("b"))))
+    cross = df(left).distinct().select(F.col("key").alias("a")).crossJoin(df(right).distinct().select(F.col("key").alias("b"))).select("a", "b", score.alias("s"))
+    want = sorted((r.a, r.b, r.s) for r in cross.where("s >= 0.3").collect())
+    for least in (0.3, 0.5, 0.7):
+        assert sorted((r.a, r.b, r.score) for r in sp.similar_titles(df(left), df(right), least).collect()) == [x for x in want if x[2] >= least]
