@@ -66,7 +66,11 @@ def contained_titles(left: DataFrame, right: DataFrame) -> DataFrame:
         # a title that can hold one of n < 4 letters with a score of CONTAINED is at most so long
         g = long.select("source_id", t, F.explode(F.concat(*(of(t, n, 1 << 30 if n == 4 else int(n * 80 / CONTAINED)) for n in (1, 2, 3, 4)))).alias("g"))
         freq = g.groupBy("source_id", "g").agg(F.count(F.lit(1)).alias("n"))
-        mine = short.select("source_id", s, F.explode(F.concat(*(of(s, n, 1 << 30 if n == 4 else n) for n in (1, 2, 3, 4)))).alias("g")).join(freq, ["source_id", "g"], "left")
+        # all letters of the shorter stand in the longer: first the outer ones are looked up, then all of what is left
+        for end in (F.left(F.col(s), F.lit(4)), F.right(F.col(s), F.lit(4))):
+            short = short.withColumn("g", end).join(freq, ["source_id", "g"]).select("source_id", s)
+        mine = short.select("source_id", s, F.explode(F.concat(*(of(s, n, 1 << 30 if n == 4 else n) for n in (1, 2, 3, 4)))).alias("g"))
+        mine = mine.join(freq, ["source_id", "g"], "left")
         rare = mine.groupBy("source_id", s).agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("x")).where("x.n > 0").select("source_id", s, F.col("x.g").alias("g"))
         return rare.join(g, ["source_id", "g"]).where(F.contains(t, s)).select("source_id", "a", "b")
 
@@ -103,29 +107,32 @@ def _title_words(left: DataFrame, right: DataFrame) -> DataFrame:
     """(source_id, key, in_a, in_b, full, bare): each title of either side with its words as numbers, with and without affixes.
 
     A book's words are numbered from the rarest on, so that equal numbers are equal words and sorted ones the rarest first.
+    Words of a single title or side come before all others, with numbers below 0. ``bare`` is null if it is ``full``.
     """
     side = lambda x, a, b: x.select("source_id", "key", F.lit(a).alias("in_a"), F.lit(b).alias("in_b"))
     t = side(left, True, False).unionByName(side(right, False, True)).groupBy("source_id", "key").agg(F.bool_or("in_a").alias("in_a"), F.bool_or("in_b").alias("in_b"))
     t = t.withColumn("full", _words(F.col("key"))).withColumn("bare", _words(strip_affixes(F.col("key"))))
     w = t.select("source_id", "key", "in_a", "in_b", F.explode(F.array_union("full", "bare")).alias("w"), F.array_contains("full", F.col("w")).alias("f"), F.array_contains("bare", F.col("w")).alias("b"))
-    ids = w.groupBy("source_id", "w").agg(F.count(F.lit(1)).alias("n")).select("source_id", "w", F.row_number().over(Window.partitionBy("source_id").orderBy("n", "w")).alias("id"))
+    ids = w.groupBy("source_id", "w").agg(F.count(F.lit(1)).alias("n"), (F.bool_or("in_a") & F.bool_or("in_b")).alias("shared")).withColumn("id", F.row_number().over(Window.partitionBy("source_id").orderBy("n", "w")))
+    ids = ids.select("source_id", "w", F.when((F.col("n") > 1) & F.col("shared"), F.col("id")).otherwise(-F.col("id")).alias("id"))
     of = lambda c: F.sort_array(F.collect_list(F.when(F.col(c), F.col("id"))))
-    return w.join(ids, ["source_id", "w"]).groupBy("source_id", "key", "in_a", "in_b").agg(of("f").alias("full"), of("b").alias("bare"))
+    return w.join(ids, ["source_id", "w"]).groupBy("source_id", "key", "in_a", "in_b").agg(of("f").alias("full"), of("b").alias("bare")).withColumn("bare", F.when(F.col("bare") != F.col("full"), F.col("bare")))
 
 
-def similar_titles(left: DataFrame, right: DataFrame, least: float = LIKE, near: int | None = None) -> DataFrame:
+def similar_titles(left: DataFrame, right: DataFrame, least: float = LIKE, near: int | None = None, words: DataFrame | None = None) -> DataFrame:
     """(source_id, a, b, score): the larger Jaccard similarity of the words of two titles, with and without affixes.
 
     With ``near``, left and right have a ``page``, and titles come into question if theirs are at most so far apart;
-    the result has them as ``page`` and ``at``.
+    the result has them as ``page`` and ``at``. ``words``: ``_title_words`` of both, if there already.
     """
-    t = cut(_title_words(left, right))
+    t = cut(_title_words(left, right)) if words is None else words
     table = F.array(*(F.array(*(F.struct(F.lit(m).alias("m"), F.lit(i).alias("i"), F.lit(j).alias("j")) for m, i, j in _signs(n, least))) for n in range(1, SHORT + 1)))
 
     def signed(titles: DataFrame, me: str) -> DataFrame:
         rows = None
         for form in ("full", "bare"):
-            ws, n = F.col(form), F.size(form)
+            ws = F.col("full") if form == "full" else F.coalesce("bare", "full")
+            n = F.size(ws)
             sign = lambda la, lb, u, v: F.struct(la.alias("la"), lb.alias("lb"), u.alias("u"), v.alias("v"))
             mine = lambda m: (n, m) if me == "a" else (m, n)  # noqa: E731, B023
             two = F.transform(F.get(table, n - 1), lambda s: sign(*mine(s["m"]), F.get(ws, s["i"]), F.coalesce(F.get(ws, s["j"]), F.lit(0))))  # noqa: B023
@@ -135,9 +142,10 @@ def similar_titles(left: DataFrame, right: DataFrame, least: float = LIKE, near:
                 signs = F.when(n <= SHORT, F.concat(two, one(-1))).otherwise(one(0))
             else:
                 signs = F.when(n <= SHORT, F.concat(two, one(0))).otherwise(F.concat(one(0), one(-1)))
-            x = titles.where(n > 0).select(*titles.columns, F.lit(form == "full").alias("whole"), (F.col("full") == F.col("bare")).alias("same"), F.explode(signs).alias("s"))
+            # a word of one title or side is no link
+            x = titles.where(n > 0).select(*titles.columns, F.lit(form == "full").alias("whole"), F.explode(F.filter(signs, lambda s: (s["u"] > 0) & (s["v"] >= 0))).alias("s"))
             rows = x if rows is None else rows.unionByName(x)
-        own = ["key", "full", "bare", "same", *["page"] * (near is not None)]
+        own = ["key", "full", "bare", *["page"] * (near is not None)]
         return rows.select("source_id", "whole", "s.*", *(["on"] if near is not None else []), *(F.col(c).alias(f"{me}_{c}") for c in own))
 
     a, b, on = t.where("in_a"), t.where("in_b"), ["source_id", "whole", "la", "lb", "u", "v"]
@@ -146,15 +154,23 @@ def similar_titles(left: DataFrame, right: DataFrame, least: float = LIKE, near:
         a = a.join(pages(left), ["source_id", "key"]).withColumn("on", F.explode(F.sequence(F.col("page") - near, F.col("page") + near)))
         b, on = b.join(pages(right), ["source_id", "key"]).withColumn("on", F.col("page")), [*on, "on"]
     # titles without affixes are alike in both forms: one is enough
-    c = signed(a, "a").join(signed(b, "b").withColumnRenamed("b_same", "b_like"), on).where("whole or not (a_same and b_like)")
-    both = {f: F.array_intersect(f"a_{f}", f"b_{f}") for f in ("full", "bare")}
-    score = {f: F.coalesce(F.try_divide(F.size(x), F.size(f"a_{f}") + F.size(f"b_{f}") - F.size(x)), F.lit(0.0)) for f, x in both.items()}
+    alike = F.col("a_bare").isNull() & F.col("b_bare").isNull()
+    c = signed(a, "a").join(signed(b, "b"), on).where((F.col("whole") | ~alike) & (F.col("a_key") != F.col("b_key")))
+    words = {"full": (F.col("a_full"), F.col("b_full")), "bare": (F.coalesce("a_bare", "a_full"), F.coalesce("b_bare", "b_full"))}
+    both = {f: F.array_intersect(*x) for f, x in words.items()}
+    score = {f: F.coalesce(F.try_divide(F.size(both[f]), F.size(x) + F.size(y) - F.size(both[f])), F.lit(0.0)) for f, (x, y) in words.items()}
     # every pair comes once: by the first words that it shares, and without affixes only if it isn't similar with them
     first = lambda x: (F.get(x, F.lit(0)) == F.col("u")) & ((F.col("v") == 0) | (F.get(x, F.lit(1)) == F.col("v")))
     c = c.where(F.when(F.col("whole"), first(both["full"])).otherwise(first(both["bare"])))
     c = c.where(F.when(F.col("whole"), score["full"] >= least).otherwise((score["bare"] >= least) & (score["full"] < least)))
     more = [F.col("a_page").alias("page"), F.col("b_page").alias("at")] if near is not None else []
-    return c.select("source_id", F.col("a_key").alias("a"), F.col("b_key").alias("b"), F.when(F.col("a_same") & F.col("b_like"), score["full"]).otherwise(F.greatest(*score.values())).alias("score"), *more)
+    other = c.select("source_id", F.col("a_key").alias("a"), F.col("b_key").alias("b"), F.when(alike, score["full"]).otherwise(F.greatest(*score.values())).alias("score"), *more)
+    # a title on both sides is wholly like itself
+    a, b = a.where((F.size("full") > 0) & F.col("in_b")), b.where("in_a")
+    equal = a.where(F.lit(least <= 1)).select("source_id", F.col("key").alias("a"), F.col("key").alias("b"), F.lit(1.0).alias("score"))
+    if near is not None:
+        equal = a.withColumnRenamed("page", "p").join(b.select("source_id", "key", "page", "on"), ["source_id", "key", "on"]).select("source_id", F.col("key").alias("a"), F.col("key").alias("b"), F.lit(1.0).alias("score"), F.col("p").alias("page"), F.col("page").alias("at"))
+    return other.unionByName(equal)
 
 
 def direct_matches(sections: DataFrame, heads: DataFrame) -> DataFrame:
@@ -197,11 +213,16 @@ def fuzzy_matches(sections: DataFrame, heads: DataFrame, direct: DataFrame) -> D
     """
     rest = sections.join(direct.select("source_id", "section_id"), ["source_id", "section_id"], "left_anti")
     free = heads.join(direct.select("source_id", "h").distinct(), ["source_id", "h"], "left_anti")
-    pairs = similar_titles(rest, free)
+    words = cut(_title_words(rest, free))
+    far = similar_titles(rest, free, ENOUGH, words=words)
+    # below ENOUGH, only a near page lifts a pair
+    close = similar_titles(rest, free, LIKE, near=2, words=words).where(F.col("score") < ENOUGH)
+    mine, theirs = rest.withColumnRenamed("key", "a"), free.select("source_id", F.col("key").alias("b"), "h", F.col("page").alias("at"))
     away = F.abs(F.col("page") - F.col("at"))
     bonus = F.when(away == 0, 0.3).when(away <= 1, 0.2).when(away <= 2, 0.1).otherwise(0.0)
-    c = pairs.join(rest.withColumnRenamed("key", "a"), ["source_id", "a"]).join(free.select("source_id", F.col("key").alias("b"), "h", F.col("page").alias("at")), ["source_id", "b"])
-    c = c.withColumn("score", F.col("score") + bonus).where(F.col("score") >= ENOUGH)
+    cols = ["source_id", "section_id", "ord", "h", (F.col("score") + bonus).alias("score")]
+    c = far.join(mine, ["source_id", "a"]).join(theirs, ["source_id", "b"]).select(*cols).unionByName(close.join(mine, ["source_id", "a", "page"]).join(theirs, ["source_id", "b", "at"]).select(*cols))
+    c = c.where(F.col("score") >= ENOUGH)
     kind = dict(c.dtypes)
     inorder = c.select("source_id", "section_id", "ord", "h", "score").repartition("source_id").sortWithinPartitions("source_id", "ord", "section_id", F.desc("score"), "h")
     got = inorder.mapInArrow(_claim, f"source_id {kind['source_id']}, section_id {kind['section_id']}, h int, score double")
@@ -223,20 +244,21 @@ def absorbed(heads: DataFrame, matches: DataFrame, depth: int = 3) -> DataFrame:
     return matches.join(h.select("source_id", "h", "stop", "n"), ["source_id", "h"]).select("source_id", "section_id", "h", "stop", "n")
 
 
-def pieces(book_lines: DataFrame, heads: DataFrame) -> DataFrame:
-    """(source_id, h, doc, text): the lines of each heading, document by document; what stands before the first is left out."""
-    starts = heads.select("source_id", "doc", "line", "h")
-    x = book_lines.join(starts, ["source_id", "doc", "line"], "left")
-    doc = Window.partitionBy("source_id", "doc").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = x.withColumn("h", F.max("h").over(doc))
-    own = x.where("h is not null").groupBy("source_id", "doc", "h").agg(F.array_sort(F.collect_list(F.struct("line", "text"))).alias("t"))
+def pieces(docs: DataFrame, heads: DataFrame) -> DataFrame:
+    """(source_id, h, doc, text): the lines of each heading, document by document; what stands before the first is left out.
+
+    ``docs``: source_id, doc (once a book), text. A text is cut where it lies: only the places of headings are sorted.
+    """
+    starts = heads.groupBy("source_id", "doc").agg(F.array_sort(F.collect_list(F.struct("line", "h"))).alias("s"), F.max("h").alias("last"))
+    docs = docs.where("text is not null and source_id is not null")
     # lines before a document's first heading belong to the last heading of the documents before
-    head = x.where("h is null").groupBy("source_id", "doc").agg(F.array_sort(F.collect_list(F.struct("line", "text"))).alias("t"))
-    ends = starts.groupBy("source_id", "doc").agg(F.max("h").alias("h")).unionByName(head.select("source_id", "doc", F.lit(None).cast("int").alias("h")))
-    ends = ends.groupBy("source_id", "doc").agg(F.max("h").alias("h")).withColumn("before", F.max("h").over(Window.partitionBy("source_id").orderBy("doc").rowsBetween(Window.unboundedPreceding, -1)))
-    carried = head.join(ends.where("before is not null").select("source_id", "doc", F.col("before").alias("h")), ["source_id", "doc"])
-    text = F.array_join(F.transform("t", lambda y: y["text"]), "\n").alias("text")
-    return own.select("source_id", "h", "doc", text).unionByName(carried.select("source_id", "h", "doc", text))
+    upto = Window.partitionBy("source_id").orderBy("doc").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = docs.select("source_id", "doc").join(starts, ["source_id", "doc"], "left").withColumn("before", F.max("last").over(upto)).where("before is not null or s is not null")
+    cuts = cuts.select("source_id", "doc", F.concat(F.array(F.struct(F.lit(0).alias("line"), F.col("before").alias("h"))), F.coalesce("s", F.array().cast("array<struct<line:int,h:int>>"))).alias("s"))
+    x = docs.select("source_id", "doc", F.split("text", "\n").alias("t")).join(cuts, ["source_id", "doc"])
+    to = F.coalesce(F.get(F.col("s"), F.col("k") + 1)["line"], F.size("t"))
+    x = x.select("source_id", "doc", "t", "s", F.posexplode("s").alias("k", "x")).select("source_id", "doc", "t", F.col("x.line").alias("line"), F.col("x.h").alias("h"), to.alias("to")).where("h is not null and to > line")
+    return x.select("source_id", "h", "doc", F.array_join(F.slice("t", F.col("line") + 1, F.col("to") - F.col("line")), "\n").alias("text"))
 
 
 def anchored(book_lines: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -269,7 +291,7 @@ def split_by_headings(docs: DataFrame, sections: DataFrame, depth: int = 3) -> D
     direct = cut(direct_matches(s.where("title is not null"), heads))
     matches = cut(direct.unionByName(fuzzy_matches(s, heads, direct)))
     got = absorbed(heads, matches, depth).withColumn("of", F.explode(F.sequence(F.col("h"), F.coalesce(F.col("stop") - 1, F.col("n")))))
-    part = pieces(book_lines, heads).withColumnRenamed("h", "of")
+    part = pieces(docs, heads).withColumnRenamed("h", "of")
     text = got.join(part, ["source_id", "of"]).groupBy("source_id", "section_id").agg(F.array_sort(F.collect_list(F.struct("of", "doc", "text"))).alias("t"))
     text = text.select("source_id", "section_id", rsub(F.array_join(F.transform("t", lambda x: x["text"]), "\n"), r"^\s+|\s+\z", "").alias("by_heading"))
     text = matches.select("source_id", "section_id", "tier", "h").join(text, ["source_id", "section_id"])

@@ -82,3 +82,19 @@ def test_similar_titles_of_any_length_against_brute_force(spark):
     want = sorted((r.a, r.b, r.s) for r in cross.where("s >= 0.3").collect())
     for least in (0.3, 0.5, 0.7):
         assert sorted((r.a, r.b, r.score) for r in sp.similar_titles(df(left), df(right), least).collect()) == [x for x in want if x[2] >= least]
+
+
+def test_far_headings_are_claimed_without_pairs_of_common_words(spark):
+    """64 million pairs of a section and a heading share "the" and "of", of which no page is near; 8,000 are similar enough."""
+    ids = spark.range(8000).withColumn("source_id", F.lit("b"))
+    key = lambda x: F.format_string(f"the k%1$d of w%1$d{x}", "id").alias("key")
+    s = ids.select("source_id", F.col("id").cast("string").alias("section_id"), F.col("id").cast("int").alias("ord"), key("x"), F.lit(0).alias("page"))
+    h = ids.select("source_id", F.col("id").cast("int").alias("h"), key("y"), F.lit(None).cast("int").alias("page"))
+    none = spark.createDataFrame([], "source_id string, section_id string, h int")
+    stop = threading.Timer(60, spark.sparkContext.cancelAllJobs)
+    stop.start()
+    try:
+        rows = sp.fuzzy_matches(s, h, none).agg(F.count("*"), F.sum((F.col("section_id") == F.col("h")).cast("int"))).first()
+    finally:
+        stop.cancel()
+    assert tuple(rows) == (8000, 8000)
